@@ -20,7 +20,7 @@ def date_lit(d) -> Column:
         d = _dt.date.fromisoformat(d)
     if isinstance(d, _dt.datetime):
         d = d.date()
-    return F.lit(d)
+    return F.lit(d.isoformat()).cast("date")
 
 
 def ts_lit(t) -> Column:

@@ -44,6 +44,12 @@ def _as_of(as_of) -> Column:
     return F.current_date() if as_of is None else date_lit(as_of)
 
 
+def window_rows(txns: DataFrame, after, as_of=None) -> DataFrame:
+    """Transactions dated in (after, as_of]."""
+    d = F.col("transaction_date")
+    return txns.filter((d > _scalar(after)) & (d <= _as_of(as_of)))
+
+
 def deltas(txns: DataFrame, after, as_of=None) -> DataFrame:
     """A3 + P6: net quantity change per (portfolio, symbol, day) in (after, as_of]."""
     a, t = _scalar(after), _as_of(as_of)
