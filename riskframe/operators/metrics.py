@@ -12,11 +12,15 @@ METRIC_COLUMNS = ["portfolio_id", "date", "total_value_gbp", "weighted_daily_ret
 
 
 def holdings(prices: DataFrame, positions: DataFrame) -> DataFrame:
-    """J3 + P2: price rows x position rows on (symbol, date); non-trading days vanish."""
+    """J3 + P2: price rows x position rows on (symbol, date); non-trading days vanish.
+
+    The positions side is generated by ``explode`` (pairs x days), which the
+    planner's static size estimate does not see; the MERGE hint keeps it from
+    being broadcast on that estimate (AQE still re-plans on measured sizes)."""
     p = prices.select("symbol", "date", F.col("close_gbp").cast("double").alias("close_gbp"),
                       F.col("daily_return").cast("double").alias("daily_return"))
     q = positions.select("portfolio_id", "symbol", "date", F.col("quantity").cast("double").alias("quantity"))
-    return (p.join(q, ["symbol", "date"])
+    return (p.join(q.hint("merge"), ["symbol", "date"])
             .select("portfolio_id", "date", "symbol", "close_gbp", "daily_return", "quantity",
                     (F.col("close_gbp") * F.col("quantity")).alias("position_value_gbp")))
 

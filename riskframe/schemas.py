@@ -66,20 +66,20 @@ class Table:
     name: str
     schema: StructType
     keys: tuple = ()
-    partition_by: tuple = field(default=())   # empty: hash buckets of the keys
+    partition_by: tuple = field(default=())   # key columns / derived names; empty: key hash buckets
 
 
 TABLES = {t.name: t for t in [
-    Table("equity_daily", EQUITY_DAILY, ("symbol", "date")),
-    Table("fx_daily", FX_DAILY, ("pair", "date")),
+    Table("equity_daily", EQUITY_DAILY, ("symbol", "date"), ("month",)),
+    Table("fx_daily", FX_DAILY, ("pair", "date"), ("month",)),
     Table("load_metadata", LOAD_METADATA, ("source",)),
     Table("portfolio_positions", PORTFOLIO_POSITIONS, ("portfolio_id", "symbol")),
-    Table("fact_prices", FACT_PRICES, ("symbol", "date")),
+    Table("fact_prices", FACT_PRICES, ("symbol", "date"), ("month",)),
     Table("pipeline_monitoring", PIPELINE_MONITORING, ()),
     Table("portfolio_transactions", PORTFOLIO_TRANSACTIONS, ("transaction_id",)),
-    Table("portfolio_positions_daily", PORTFOLIO_POSITIONS_DAILY, ("portfolio_id", "symbol", "date")),
-    Table("fact_benchmark", FACT_BENCHMARK, ("date", "symbol")),
-    Table("fact_portfolio_adv_metrics", FACT_PORTFOLIO_ADV_METRICS, ("date", "portfolio_id")),
+    Table("portfolio_positions_daily", PORTFOLIO_POSITIONS_DAILY, ("portfolio_id", "symbol", "date"), ("month",)),
+    Table("fact_benchmark", FACT_BENCHMARK, ("date", "symbol"), ("month",)),
+    Table("fact_portfolio_adv_metrics", FACT_PORTFOLIO_ADV_METRICS, ("date", "portfolio_id"), ("month",)),
     Table("dim_symbol", DIM_SYMBOL, ("symbol",)),
 ]}
 

@@ -12,12 +12,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ..sources.files import table_exists
 
 BUCKET = "_bucket"
-DEFAULT_BUCKETS = 64
+DEFAULT_BUCKETS = 16   # size to the table on a cluster: about table bytes / 1 GB
 
 
 def write_parquet(df: DataFrame, root: str, name: str, mode: str = "overwrite") -> str:
@@ -98,24 +98,38 @@ def bucket_of(keys, buckets: int = DEFAULT_BUCKETS) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
 
+# Partition columns derived from a key column (so a key never changes partition).
+DERIVED = {
+    "month": lambda: F.date_format(F.col("date"), "yyyy-MM"),
+}
+
+
 def upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys, schema: StructType,
                  partition_by=(), update_cols=None, insert_defaults: dict | None = None,
                  buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """K4 applied to a Parquet table at ``path`` (created on first use).
 
-    Reads only the partitions the updates touch, merges, and rewrites exactly
-    those partitions (dynamic overwrite, written through a staging folder by
-    the commit protocol, so a lost executor re-runs tasks, not the job).
-    Re-running the same batch is a no-op on content (the merge is idempotent).
+    ``partition_by``: key columns, names in ``DERIVED`` (e.g. ``month`` of the
+    date key) or, when empty, a hash bucket of the key. Reads only the
+    partitions the updates touch, merges on the keys (hash-partitioned by the
+    keys, so a daily increment that lands in one partition still spreads over
+    every task), then rebalances by partition value before the write: AQE
+    packs each value into one file, or splits a large one into several.
+    Dynamic overwrite replaces exactly the touched partitions through the
+    commit protocol's staging folder, so a lost executor re-runs tasks, not
+    the job. Re-running the same batch is a no-op on content.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    pcols = list(partition_by)
-    if pcols and not set(pcols) <= set(keys):
-        raise ValueError("partition columns must be part of the key")
-    if not pcols:
-        pcols = [BUCKET]
-        updates = updates.withColumn(BUCKET, bucket_of(keys, buckets))
-    full = schema if BUCKET not in pcols else StructType(schema.fields + [StructField(BUCKET, IntegerType())])
+    pcols = list(partition_by) or [BUCKET]
+    for c in pcols:
+        if c == BUCKET:
+            updates = updates.withColumn(BUCKET, bucket_of(keys, buckets))
+        elif c in DERIVED:
+            updates = updates.withColumn(c, DERIVED[c]())
+        elif c not in keys:
+            raise ValueError(f"partition column {c} must be a key or derived from one")
+    extra = [StructField(c, IntegerType() if c == BUCKET else StringType()) for c in pcols if c not in schema.names]
+    full = StructType(schema.fields + extra)
     if table_exists(spark, path):
         current = spark.read.schema(full).parquet(path)
         touched = updates.select(*pcols).distinct()
@@ -123,7 +137,8 @@ def upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys, schem
     else:
         target = spark.createDataFrame([], full)
     merged = upsert(target, updates, keys, update_cols, insert_defaults)
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*pcols).parquet(path)
+    (merged.hint("rebalance", *pcols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*pcols).parquet(path))
     return read_upserted(spark, path, schema)
 
 
