@@ -35,8 +35,9 @@ def register(name: str, sql: str | None = None):
 
 
 def rnd(df: DataFrame, *cols: str, digits: int = o.DIGITS) -> DataFrame:
-    """Round the named double columns in place (column order kept)."""
-    return df.select(*[F.round(F.col(c), digits).alias(c) if c in cols else F.col(c) for c in df.columns])
+    """Round the named double columns in place (column order kept); -0.0 becomes 0.0."""
+    return df.select(*[(F.round(F.col(c), digits) + F.lit(0.0)).alias(c) if c in cols else F.col(c)
+                       for c in df.columns])
 
 
 # ---------------------------------------------------------------- shared chains
