@@ -11,7 +11,7 @@ the literal building blocks, kept for callers that want them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import date_lit
@@ -108,20 +108,35 @@ def positions_daily(txns: DataFrame, prior: DataFrame | None = None, last_date=N
     ``last_date`` defaults to A5 (watermark in ``meta`` or the first
     transaction date - 1); ``prior`` is the existing positions table whose
     quantities at ``last_date`` seed the running sum.
+
+    Plan: change points = one zero anchor per transaction row on the first
+    day (so every traded pair starts there), the prior quantities on that day,
+    and the transactions in (last_date, as_of]; one aggregation by
+    (pair, day) with map-side partial aggregation, one window by pair, then a
+    map-side explode of each change point over the days it holds for. Prior
+    rows of pairs that never traded are dropped inside the same window (the
+    reference's base is the distinct traded pairs), so no join is needed.
     """
     ld = _scalar(start_date(txns, meta) if last_date is None else last_date)
     t = _as_of(as_of)
     first_day = F.date_add(ld, 1)
-    base = priors(pairs(txns), prior, ld)
-    # change points: an anchor per pair on the first day carrying the prior, plus daily deltas
-    anchors = base.filter(first_day <= t).select(*PAIR, first_day.alias("date"), F.col("prior_qty").alias("q"))
+    traded = txns.select(*PAIR, first_day.alias("date"), F.lit(0.0).alias("q"), F.lit(1).alias("traded"))
     moves = (txns.filter((F.col("transaction_date") > ld) & (F.col("transaction_date") <= t))
-             .select(*PAIR, F.col("transaction_date").alias("date"), F.col("quantity_delta").cast("double").alias("q")))
-    points = anchors.unionByName(moves).groupBy(*PAIR, "date").agg(F.sum("q").alias("q"))
-    w = ordered(PAIR)
+             .select(*PAIR, F.col("transaction_date").alias("date"),
+                     F.col("quantity_delta").cast("double").alias("q"), F.lit(1).alias("traded")))
+    points = traded.unionByName(moves)
+    if prior is not None:
+        seed = prior.filter(F.col("date") == ld).select(*PAIR, first_day.alias("date"),
+                                                        F.col("quantity").cast("double").alias("q"),
+                                                        F.lit(0).alias("traded"))
+        points = points.unionByName(seed)
+    points = (points.filter(first_day <= t).groupBy(*PAIR, "date")
+              .agg(F.sum("q").alias("q"), F.max("traded").alias("traded")))
     held = points.select(*PAIR, "date",
                          F.sum("q").over(running(PAIR)).alias("quantity"),
-                         F.lead("date").over(w).alias("next_date"))
+                         F.lead("date").over(ordered(PAIR)).alias("next_date"),
+                         F.max("traded").over(Window.partitionBy(*PAIR)).alias("traded"))
     until = F.coalesce(F.date_sub(F.col("next_date"), 1), t)
-    return held.select("portfolio_id", "symbol", F.explode(days_between(F.col("date"), until)).alias("date"),
-                       "quantity")
+    return (held.filter(F.col("traded") == 1)
+            .select("portfolio_id", "symbol", F.explode(days_between(F.col("date"), until)).alias("date"),
+                    "quantity"))
