@@ -1,7 +1,7 @@
 """Headline benchmark: prints ONE JSON line.
 
 env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-     BENCH_RUNS (warm runs per query, default 3; the median is reported).
+     BENCH_RUNS (warm runs per query, default 5; the median is reported).
 Each query is executed end to end with the no-op sink (every row produced,
 nothing collected); one untimed warm-up run precedes the timed runs.
 """
@@ -30,7 +30,7 @@ def run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     spark = get_session(f"local[{cpus}]", app="riskframe-bench", shuffle_partitions=cpus,
                         extra={"spark.driver.memory": "8g"})
     if not spark.sparkContext.getConf().get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():

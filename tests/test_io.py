@@ -1,7 +1,6 @@
 """Payload parsing, cleaning, upsert, incremental state, quality and serving."""
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from conftest import D
@@ -143,3 +142,29 @@ def test_serving(spark):
     dash = sv.dashboard(df, "P2", 100).collect()[0]
     assert (dash.date, dash.value, dash["return"]) == ("2025-01-01", None, None)
     assert sv.to_json(df.limit(1)).columns == ["json"]
+
+
+def test_ensure_tables_never_replaces(spark):
+    store = Store(spark, scratch_path(spark, "t-ddl"))
+    made = store.ensure_tables()
+    assert "fact_prices" in made and "load_metadata" in made
+    store.upsert("dim_symbol", spark.createDataFrame([("A", "Alpha", "USD")], "symbol string, company_name string, "
+                                                                              "currency string"))
+    assert store.ensure_tables() == []
+    assert store.read("dim_symbol").count() == 1
+    assert store.read("fact_prices").schema["close_gbp"].dataType.simpleString() == "decimal(34,12)"
+
+
+def test_stream_ingest_processes_each_file_once(spark):
+    from riskframe.streaming import ingest
+    base = scratch_path(spark, "t-stream")
+    doc = '{"Time Series (Daily)": {"%s": {"4. close": "%s", "6. volume": "1"}}}'
+    spark.createDataFrame([("A", doc % ("2025-01-02", "1.5"))], "symbol string, payload string") \
+        .write.parquet(f"{base}/in/b=1")
+    ingest.stream_ingest(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt")
+    spark.createDataFrame([("A", doc % ("2025-01-03", "2.5")), ("B", '{"Note": "x"}')],
+                          "symbol string, payload string").write.parquet(f"{base}/in/b=2")
+    ingest.stream_ingest(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt")
+    ingest.stream_ingest(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt")
+    got = sorted((r.symbol, r.date, r.close) for r in ingest.read_ingested(spark, f"{base}/out").collect())
+    assert got == [("A", D("2025-01-02"), 1.5), ("A", D("2025-01-03"), 2.5)]
