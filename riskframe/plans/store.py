@@ -27,7 +27,7 @@ class Store:
         t = schemas.TABLES[name]
         if not self.exists(name):
             return self.spark.createDataFrame([], t.schema)
-        return sink.read_upserted(self.spark, self.path(name), t.schema)
+        return sink.read_upserted(self.spark, self.path(name), t.schema, t.partition_by)
 
     def upsert(self, name: str, updates: DataFrame, update_cols=None, insert_defaults=None) -> DataFrame:
         t = schemas.TABLES[name]

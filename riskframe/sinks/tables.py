@@ -128,8 +128,7 @@ def upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys, schem
             updates = updates.withColumn(c, DERIVED[c]())
         elif c not in keys:
             raise ValueError(f"partition column {c} must be a key or derived from one")
-    extra = [StructField(c, IntegerType() if c == BUCKET else StringType()) for c in pcols if c not in schema.names]
-    full = StructType(schema.fields + extra)
+    full = stored_schema(schema, pcols)
     if table_exists(spark, path):
         current = spark.read.schema(full).parquet(path)
         touched = updates.select(*pcols).distinct()
@@ -139,10 +138,18 @@ def upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys, schem
     merged = upsert(target, updates, keys, update_cols, insert_defaults)
     (merged.hint("rebalance", *pcols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*pcols).parquet(path))
-    return read_upserted(spark, path, schema)
+    return read_upserted(spark, path, schema, pcols)
+
+
+def stored_schema(schema: StructType, partition_by=()) -> StructType:
+    """The table schema plus its partition helper columns (month text / key bucket)."""
+    pcols = list(partition_by) or [BUCKET]
+    extra = [StructField(c, IntegerType() if c == BUCKET else StringType()) for c in pcols if c not in schema.names]
+    return StructType(schema.fields + extra)
 
 
-def read_upserted(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Read a table written by ``upsert_table`` (partition helper column dropped)."""
-    from ..schemas import conform
-    return conform(spark.read.parquet(path), schema)
+def read_upserted(spark: SparkSession, path: str, schema: StructType, partition_by=()) -> DataFrame:
+    """Read a table written by ``upsert_table`` with its declared schema (no
+    footer inference); partition helper columns are dropped."""
+    df = spark.read.schema(stored_schema(schema, partition_by)).parquet(path)
+    return df.select(*schema.names)
