@@ -24,11 +24,12 @@ def date_lit(d) -> Column:
 
 
 def ts_lit(t) -> Column:
+    """A wall-clock timestamp literal (TIMESTAMP_NTZ: independent of the session time zone)."""
     if isinstance(t, Column):
         return t
-    if isinstance(t, str):
-        t = _dt.datetime.fromisoformat(t)
-    return F.lit(t).cast("timestamp")
+    if isinstance(t, _dt.datetime):
+        t = t.isoformat(sep=" ")
+    return F.lit(str(t)).cast("timestamp_ntz")
 
 
 def normalise_key(c) -> Column:

@@ -587,7 +587,7 @@ def q_scalar_dates(spark, d):
     return e.select("symbol", "date", F.date_add("date", 1).alias("next_day"),
                     F.date_sub("date", 29).alias("window_start"), F.date_sub("date", 30).alias("snapshot_from"),
                     text.alias("date_text"), F.to_date(text, "yyyy-MM-dd").alias("parsed"),
-                    (F.col("date").cast("timestamp") - F.expr("INTERVAL 1 HOUR")).cast("string").alias("hour_before"))
+                    (F.col("date").cast("timestamp_ntz") - F.expr("INTERVAL 1 HOUR")).cast("string").alias("hour_before"))
 
 
 @register("scalar_strings", wf("""

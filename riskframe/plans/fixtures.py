@@ -79,7 +79,7 @@ def query_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("query_id"),
         F.col("user_id").cast("string").alias("user_name"),
         F.when(F.col("event_type") == "view", F.lit("SELECT")).otherwise(F.upper("event_type")).alias("query_type"),
-        F.col("ts").cast("timestamp").alias("start_time"),
+        F.col("ts").cast("timestamp_ntz").alias("start_time"),
         (F.col("value") * 10).alias("total_elapsed_time"),
         (F.col("event_id") % 1000).alias("rows_produced"),
         F.floor(F.col("value") * 1048576).cast("bigint").alias("bytes_scanned"),

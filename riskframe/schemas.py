@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DateType, DecimalType, DoubleType, LongType, StringType,
-                               StructField, StructType, TimestampType)
+                               StructField, StructType, TimestampNTZType, TimestampType)
 
 S, D, DBL, L, TS = StringType(), DateType(), DoubleType(), LongType(), TimestampType()
 
@@ -53,7 +53,7 @@ VIEW_PORTFOLIO_METRICS = _st(("portfolio_id", S, True), ("date", D, True), ("tot
                              ("daily_var_95", DBL, True))
 QUERY_HISTORY = _st(("query_id", L, True), ("user_name", S, True), ("warehouse_name", S, True),
                     ("database_name", S, True), ("schema_name", S, True), ("query_type", S, True),
-                    ("start_time", TS, True), ("total_elapsed_time", DBL, True), ("rows_produced", L, True),
+                    ("start_time", TimestampNTZType(), True), ("total_elapsed_time", DBL, True), ("rows_produced", L, True),
                     ("bytes_scanned", L, True), ("query_text", S, True))
 
 # Transactions CSV: the six business columns, all required.
