@@ -1,5 +1,6 @@
 """Plan-shape tests (the scale properties) and catalog smoke tests."""
 
+import datetime
 import duckdb
 import pytest
 
@@ -59,7 +60,7 @@ def test_exploded_positions_are_never_broadcast(spark, daily):
 def test_watermark_filter_reaches_the_scan(spark):
     from riskframe.plans import incremental as inc
     e = spark.read.parquet(f"{SF_SMALL}/events.parquet").selectExpr("cast(ts as date) as date", "value")
-    meta = spark.createDataFrame([("equities", __import__("datetime").date(2024, 1, 15))],
+    meta = spark.createDataFrame([("equities", datetime.date(2024, 1, 15))],
                                  "source string, last_loaded_date date")
     text = formatted(inc.new_rows(e, meta, "equities"))
     assert "PushedFilters" in text and "ReadSchema: struct<ts" in text
