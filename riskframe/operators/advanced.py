@@ -26,7 +26,11 @@ def base(metrics: DataFrame) -> DataFrame:
 
 
 def benchmark_returns(bench: DataFrame, benchmark: str | None = "SPY") -> DataFrame:
-    """Close / previous close - 1 per benchmark symbol."""
+    """Close / previous close - 1 per benchmark symbol.
+
+    One series per benchmark symbol, at most one row per day: when the symbol
+    is a constant the optimizer drops the partition key and the lag runs as a
+    single task over that (calendar-bounded) series."""
     b = bench if benchmark is None else bench.filter(F.col("symbol") == benchmark)
     c = F.col("close").cast("double")
     return b.select("date", "symbol", (F.try_divide(c, F.lag(c).over(ordered("symbol"))) - 1).alias("benchmark_return"))

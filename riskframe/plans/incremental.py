@@ -23,6 +23,11 @@ from .store import Store
 EPOCH = "0001-01-01"
 
 
+def _partitioning(table: str) -> tuple:
+    from ..schemas import TABLES
+    return TABLES[table].partition_by
+
+
 def watermark(meta: DataFrame, source: str) -> DataFrame:
     """One-row frame [last_loaded_date]; null when the source has none."""
     return meta.filter(F.col("source") == source).agg(F.max("last_loaded_date").alias("last_loaded_date"))
@@ -64,8 +69,11 @@ def advance_watermark(store: Store, source: str, table: str, date_col: str = "da
     """Watermark := max(date) stored in ``table`` when that is newer (lazy: no
     value passes through the driver; an unchanged max writes nothing new)."""
     meta = store.read("load_metadata")
-    top = store.read(table).agg(F.max(date_col).alias("d"))
-    newer = top.filter(F.col("d") > watermark_value(meta, source))
+    current = watermark_value(meta, source)
+    # only partitions at or after the current watermark's month can hold a newer max
+    recent = F.col("month") >= store.month_of(current) if "month" in _partitioning(table) else None
+    top = store.read(table, where=recent).agg(F.max(date_col).alias("d"))
+    newer = top.filter(F.col("d") > current)
     return set_watermark(store, source, newer)
 
 
@@ -103,8 +111,11 @@ def build_positions(store: Store, as_of) -> DataFrame:
     _created_at. The watermark becomes ``as_of``."""
     meta = store.read("load_metadata")
     txns = as_double(store.read("portfolio_transactions"))
-    prior = as_double(store.read("portfolio_positions_daily"))
     last = pos.start_date(txns, meta)
+    ld = last.select(F.max("last_date")).scalar()
+    # the seed is one day of the positions table: prune to its month partition
+    prior = as_double(store.read("portfolio_positions_daily",
+                                 where=(F.col("month") == store.month_of(ld)) & (F.col("date") == ld)))
     rows = pos.positions_daily(txns, prior=prior, last_date=last, as_of=as_of)
     out = store.upsert("portfolio_positions_daily", rows, update_cols=["quantity"],
                        insert_defaults={"_created_at": F.current_timestamp()})

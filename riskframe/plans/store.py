@@ -22,12 +22,23 @@ class Store:
     def exists(self, name: str) -> bool:
         return table_exists(self.spark, self.path(name))
 
-    def read(self, name: str) -> DataFrame:
-        """The table, or an empty frame of its schema when it does not exist yet."""
+    def read(self, name: str, where=None) -> DataFrame:
+        """The table, or an empty frame of its schema when it does not exist yet.
+
+        ``where`` may use the partition helper columns (``month``), so a filter
+        such as ``month >= date_format(<watermark subquery>, 'yyyy-MM')`` prunes
+        partitions at run time before the helpers are dropped.
+        """
         t = schemas.TABLES[name]
         if not self.exists(name):
             return self.spark.createDataFrame([], t.schema)
-        return sink.read_upserted(self.spark, self.path(name), t.schema, t.partition_by)
+        return sink.read_upserted(self.spark, self.path(name), t.schema, t.partition_by, where)
+
+    def month_of(self, d) -> "Column":
+        """The ``month`` partition value of a date (Column or literal)."""
+        from pyspark.sql import functions as F
+        from ..functions.columns import date_lit
+        return F.date_format(date_lit(d), "yyyy-MM")
 
     def upsert(self, name: str, updates: DataFrame, update_cols=None, insert_defaults=None) -> DataFrame:
         t = schemas.TABLES[name]

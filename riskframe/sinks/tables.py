@@ -148,8 +148,11 @@ def stored_schema(schema: StructType, partition_by=()) -> StructType:
     return StructType(schema.fields + extra)
 
 
-def read_upserted(spark: SparkSession, path: str, schema: StructType, partition_by=()) -> DataFrame:
+def read_upserted(spark: SparkSession, path: str, schema: StructType, partition_by=(), where=None) -> DataFrame:
     """Read a table written by ``upsert_table`` with its declared schema (no
-    footer inference); partition helper columns are dropped."""
+    footer inference); ``where`` may filter on the partition helper columns
+    (pruning), which are then dropped."""
     df = spark.read.schema(stored_schema(schema, partition_by)).parquet(path)
+    if where is not None:
+        df = df.filter(where)
     return df.select(*schema.names)
