@@ -54,21 +54,26 @@ def _after(after, default_start) -> Column:
     return date_lit(after)
 
 
+def short_history_symbols(priced_recent: DataFrame, after: Column, lookback_rows: int) -> DataFrame:
+    """Symbols with rows after ``after`` but fewer than ``lookback_rows`` rows
+    in ``priced_recent`` up to ``after``: the only ones whose windows need
+    history older than the recent span."""
+    have = priced_recent.filter(F.col("date") <= after).groupBy("symbol").agg(F.count("*").alias("n"))
+    return (priced_recent.filter(F.col("date") > after).select("symbol").distinct()
+            .join(have, "symbol", "left").filter(F.coalesce(F.col("n"), F.lit(0)) < lookback_rows)
+            .select("symbol"))
+
+
 def _history_for(priced: DataFrame, after: Column, lookback_rows: int, lookback_days: int) -> DataFrame:
     """Rows needed to compute the windows of dates > after, exactly.
 
-    Recent rows (date > after - lookback_days) always; older rows only for
-    symbols with new rows but fewer than ``lookback_rows`` priced rows in the
-    recent span before the cut. The older part is a semi-join against that
-    symbol set, so settled history is not rescanned on every increment.
-    ``priced`` must already be FX-joined: windows count rows that survive it.
+    Recent rows (date > after - lookback_days) always; older rows only for the
+    ``short_history_symbols``, through a semi-join. ``priced`` must already be
+    FX-joined: windows count rows that survive it.
     """
     cut = F.date_sub(after, lookback_days)
     recent = priced.filter(F.col("date") > cut)
-    have = recent.filter(F.col("date") <= after).groupBy("symbol").agg(F.count("*").alias("n"))
-    need = (priced.filter(F.col("date") > after).select("symbol").distinct()
-            .join(have, "symbol", "left").filter(F.coalesce(F.col("n"), F.lit(0)) < lookback_rows)
-            .select("symbol"))
+    need = short_history_symbols(recent, after, lookback_rows)
     older = priced.filter(F.col("date") <= cut).join(need, "symbol", "left_semi")
     return recent.unionByName(older)
 

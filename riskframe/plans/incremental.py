@@ -90,16 +90,33 @@ def load_feed(store: Store, feed: DataFrame, table: str, source: str, clean=None
 
 
 def build_prices(store: Store, default_start: str = "2025-01-01", pair: str = "USDGBP",
-                 history: str = "window", lookback_days: int | None = 120) -> DataFrame:
+                 history: str = "window", lookback_days: int = 120) -> DataFrame:
     """FACT_PRICES rows after the 'fact_prices' watermark, merged on
-    (symbol, date); the watermark becomes the max date written (not today)."""
+    (symbol, date); the watermark becomes the max date written (not today).
+
+    The equity scan is bounded: only month partitions of the last
+    ``lookback_days`` before the watermark are read, plus, only when some
+    symbol has too little recent history for its 30-row windows (decided by a
+    small job over the recent rows), that symbol's older rows. The result is
+    exactly the full-history recompute.
+    """
     meta = store.read("load_metadata")
-    equity = as_double(store.read("equity_daily"))
     fx = as_double(store.read("fx_daily"))
     dim = store.read("dim_symbol")
     after = watermark(meta, "fact_prices")
-    rows = prc.fact_prices(equity, fx, dim, after=after, pair=pair, history=history,
-                           default_start=default_start, lookback_days=lookback_days)
+    cut = after.select(F.coalesce(F.max("last_loaded_date"), date_lit(default_start))).scalar()
+    since = F.date_sub(cut, lookback_days)
+    if history == "increment":
+        base = as_double(store.read("equity_daily", where=(F.col("month") >= store.month_of(cut))
+                                    & (F.col("date") > cut)))
+    else:
+        base = as_double(store.read("equity_daily", where=(F.col("month") >= store.month_of(since))
+                                    & (F.col("date") > since)))
+        need = prc.short_history_symbols(prc.join_fx(base, fx, pair), cut, 30)
+        if not need.isEmpty():
+            older = as_double(store.read("equity_daily", where=F.col("date") <= since))
+            base = base.unionByName(older.join(need, "symbol", "left_semi"))
+    rows = prc.fact_prices(base, fx, dim, after=cut, pair=pair, history=history, default_start=default_start)
     out = store.upsert("fact_prices", rows)
     advance_watermark(store, "fact_prices", "fact_prices")
     return out
