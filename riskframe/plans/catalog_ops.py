@@ -598,10 +598,10 @@ def q_scalar_dates(spark, d):
 def q_scalar_strings(spark, d):
     s = fx.dim_symbol(spark, d)
     return s.select("symbol", F.upper("company_name").alias("name_upper"),
-                    F.length("company_name").alias("name_length"),
+                    F.length("company_name").cast("bigint").alias("name_length"),
                     F.substring("company_name", 1, 8).alias("name_head"),
                     F.split("company_name", "#").getItem(1).alias("name_number"),
-                    F.length(F.trim(F.concat(F.lit("  "), "symbol", F.lit("  ")))).alias("trimmed_length"))
+                    F.length(F.trim(F.concat(F.lit("  "), "symbol", F.lit("  ")))).cast("bigint").alias("trimmed_length"))
 
 
 @register("scalar_rounding", wf("""select portfolio_id, "date", round(total_value_gbp, 2) as value_2dp,
