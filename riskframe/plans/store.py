@@ -40,12 +40,18 @@ class Store:
         from ..functions.columns import date_lit
         return F.date_format(date_lit(d), "yyyy-MM")
 
+    def buckets(self, name: str) -> int:
+        """Hash buckets of a key-bucketed table: ``spark.riskframe.buckets.<table>``
+        from the session (size it to roughly table bytes / 1 GB), else the table's
+        default. Fixed once the table holds data: the bucket is part of the layout."""
+        return int(self.spark.conf.get(f"spark.riskframe.buckets.{name}", str(schemas.TABLES[name].buckets)))
+
     def upsert(self, name: str, updates: DataFrame, update_cols=None, insert_defaults=None) -> DataFrame:
         t = schemas.TABLES[name]
         conformed = schemas.conform(updates, t.schema, insert_defaults)
         cols = [c for c in updates.columns if c in conformed.columns]
         return sink.upsert_table(self.spark, self.path(name), conformed.select(*cols), t.keys, t.schema,
-                                 t.partition_by, update_cols, insert_defaults)
+                                 t.partition_by, update_cols, insert_defaults, buckets=self.buckets(name))
 
     def append(self, name: str, df: DataFrame) -> int:
         t = schemas.TABLES[name]

@@ -67,6 +67,7 @@ class Table:
     schema: StructType
     keys: tuple = ()
     partition_by: tuple = field(default=())   # key columns / derived names; empty: key hash buckets
+    buckets: int = 16                          # hash buckets when partition_by is empty
 
 
 TABLES = {t.name: t for t in [

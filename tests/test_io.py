@@ -168,3 +168,20 @@ def test_stream_ingest_processes_each_file_once(spark):
     ingest.stream_ingest(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt")
     got = sorted((r.symbol, r.date, r.close) for r in ingest.read_ingested(spark, f"{base}/out").collect())
     assert got == [("A", D("2025-01-02"), 1.5), ("A", D("2025-01-03"), 2.5)]
+
+
+def test_bucket_count_comes_from_session_conf(spark):
+    store = Store(spark, scratch_path(spark, "t-buckets"))
+    assert store.buckets("portfolio_transactions") == 16
+    spark.conf.set("spark.riskframe.buckets.portfolio_transactions", "4")
+    try:
+        assert store.buckets("portfolio_transactions") == 4
+        t = spark.createDataFrame([(str(i), "P1", "A", 1.0, D("2025-01-02"), "BUY") for i in range(40)],
+                                  "transaction_id string, portfolio_id string, symbol string, quantity_delta double, "
+                                  "transaction_date date, transaction_type string")
+        inc.load_transactions(store, t)
+        stored = spark.read.parquet(store.path("portfolio_transactions")).select("_bucket").distinct().collect()
+        assert {r._bucket for r in stored} <= {0, 1, 2, 3}
+        assert store.read("portfolio_transactions").count() == 40
+    finally:
+        spark.conf.unset("spark.riskframe.buckets.portfolio_transactions")
