@@ -99,3 +99,27 @@ def test_catalog_matches_duckdb_small(spark, name):
     got = sorted(tuple(str(v) for v in r) for r in df.select(*cols).collect())
     assert len(got) == len(want)
     assert got == want
+
+
+def test_dedupe_pre_aggregates_a_hot_key(spark):
+    """A key holding a third of the rows is reduced map-side before the shuffle."""
+    from riskframe.operators import clean as cl
+    df = spark.range(3000).selectExpr("case when id % 3 = 0 then 'HOT' else cast(id as string) end as symbol",
+                                      "date'2025-01-02' as date", "cast(id as double) as close")
+    out = cl.dedupe_first(df, ["symbol", "date"])
+    text = formatted(out)
+    tree = text.split("\n\n")[0]
+    below_exchange = tree.split("Exchange", 1)[1]
+    assert "Aggregate" in below_exchange          # partial aggregation under the exchange
+    rows = {r.symbol: r.close for r in out.collect()}
+    assert rows["HOT"] == 0.0 and len(rows) == 2001
+
+
+def test_partitioned_write_rebalances(spark):
+    from riskframe.session import scratch_path
+    from riskframe.sinks import tables as sink
+    df = spark.range(100).selectExpr("cast(id % 3 as string) as k", "id")
+    root = scratch_path(spark, "t-rebalance")
+    sink.write_partitioned(df, root, "t", ["k"])
+    back = spark.read.parquet(f"{root}/t")
+    assert back.count() == 100 and {r.k for r in back.select("k").distinct().collect()} == {0, 1, 2}
