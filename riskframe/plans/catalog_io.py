@@ -381,6 +381,12 @@ def q_ingest_available_now(spark, d):
     return ingest.read_ingested(spark, f"{base}/out").select(*EQUITY_COLS)
 
 
+@register("to_json_records")
+def q_to_json_records(spark, d):
+    """V4 over the serving result of every portfolio (JSON text formats differ between engines: rows-only)."""
+    return sv.to_json(sv.nan_to_none(sv.latest(metrics_of(spark, d), None, 30)))
+
+
 # ------------------------------------------------------------------ 2.15 jobs
 def _daily_inputs(spark, d, csv_path):
     return jobs.DailyInputs(
@@ -402,8 +408,8 @@ def q_daily_run(spark, d):
     return rnd(out.select(*adv_cols()), *ADV_ROUND)
 
 
-@register("local_etl")
-def q_local_etl(spark, d):
+@register("run_local_etl")
+def q_run_local_etl(spark, d):
     out = scratch_path(spark, "processed")
     return jobs.local_etl(spark, pl.equity_payloads(fx.equity_daily(spark, d)), pl.fx_payloads(fx.fx_daily(spark, d)),
                           out, START)

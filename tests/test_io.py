@@ -142,6 +142,8 @@ def test_serving(spark):
     dash = sv.dashboard(df, "P2", 100).collect()[0]
     assert (dash.date, dash.value, dash["return"]) == ("2025-01-01", None, None)
     assert sv.to_json(df.limit(1)).columns == ["json"]
+    rec = sv.to_json(spark.createDataFrame([("P1", None)], "portfolio_id string, v double")).collect()[0].json
+    assert rec == '{"portfolio_id":"P1","v":null}'                    # nulls kept, as the API returned them
 
 
 def test_ensure_tables_never_replaces(spark):

@@ -83,7 +83,7 @@ def test_every_query_has_an_oracle_or_is_rows_only():
     import __spark_entry__ as E
     q, s = E.queries(), E.oracle_sql()
     assert set(s) <= set(q)
-    assert set(q) - set(s) == {"local_etl"}
+    assert set(q) - set(s) == {"run_local_etl", "to_json_records"}
 
 
 @pytest.mark.parametrize("name", ["fact_prices", "positions_daily", "portfolio_metrics", "advanced_metrics",
