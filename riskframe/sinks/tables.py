@@ -104,21 +104,13 @@ DERIVED = {
 }
 
 
-def upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys, schema: StructType,
-                 partition_by=(), update_cols=None, insert_defaults: dict | None = None,
-                 buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """K4 applied to a Parquet table at ``path`` (created on first use).
-
-    ``partition_by``: key columns, names in ``DERIVED`` (e.g. ``month`` of the
-    date key) or, when empty, a hash bucket of the key. Reads only the
-    partitions the updates touch, merges on the keys (hash-partitioned by the
-    keys, so a daily increment that lands in one partition still spreads over
-    every task), then rebalances by partition value before the write: AQE
-    packs each value into one file, or splits a large one into several.
-    Dynamic overwrite replaces exactly the touched partitions through the
-    commit protocol's staging folder, so a lost executor re-runs tasks, not
-    the job. Re-running the same batch is a no-op on content.
-    """
+def merge_plan(spark: SparkSession, path: str, updates: DataFrame, keys, schema: StructType, partition_by=(),
+               update_cols=None, insert_defaults: dict | None = None,
+               buckets: int = DEFAULT_BUCKETS) -> tuple[DataFrame, list]:
+    """The merged rows of the touched partitions (and the partition columns) that
+    ``upsert_table`` writes. The target is restricted to the touched partitions
+    by a semi-join on the partition columns, which Spark plans as dynamic
+    partition pruning: only those partitions are listed and read."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     pcols = list(partition_by) or [BUCKET]
     for c in pcols:
@@ -136,6 +128,26 @@ def upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys, schem
     else:
         target = spark.createDataFrame([], full)
     merged = upsert(target, updates, keys, update_cols, insert_defaults)
+    return merged, pcols
+
+
+def upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys, schema: StructType,
+                 partition_by=(), update_cols=None, insert_defaults: dict | None = None,
+                 buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """K4 applied to a Parquet table at ``path`` (created on first use).
+
+    ``partition_by``: key columns, names in ``DERIVED`` (e.g. ``month`` of the
+    date key) or, when empty, a hash bucket of the key. Reads only the
+    partitions the updates touch, merges on the keys (hash-partitioned by the
+    keys, so a daily increment that lands in one partition still spreads over
+    every task), then rebalances by partition value before the write: AQE
+    packs each value into one file, or splits a large one into several.
+    Dynamic overwrite replaces exactly the touched partitions through the
+    commit protocol's staging folder, so a lost executor re-runs tasks, not
+    the job. Re-running the same batch is a no-op on content.
+    """
+    merged, pcols = merge_plan(spark, path, updates, keys, schema, partition_by, update_cols, insert_defaults,
+                               buckets)
     (merged.hint("rebalance", *pcols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*pcols).parquet(path))
     return read_upserted(spark, path, schema, pcols)

@@ -123,3 +123,18 @@ def test_partitioned_write_rebalances(spark):
     sink.write_partitioned(df, root, "t", ["k"])
     back = spark.read.parquet(f"{root}/t")
     assert back.count() == 100 and {r.k for r in back.select("k").distinct().collect()} == {0, 1, 2}
+
+
+def test_upsert_reads_only_touched_partitions(spark):
+    """The merge target is pruned to the updates' partitions at run time (DPP)."""
+    from pyspark.sql import functions as F
+    from riskframe.session import scratch_path
+    from riskframe.sinks import tables as sink
+    path = scratch_path(spark, "t-dpp")
+    df = spark.range(400).selectExpr("concat('S', cast(id % 7 as string)) as symbol",
+                                     "date_add(date'2020-01-01', cast(id as int)) as date", "cast(id as double) as close")
+    sink.upsert_table(spark, path, df, ["symbol", "date"], df.schema, partition_by=("month",))
+    upd = df.filter(F.col("date") >= "2021-01-01").withColumn("close", F.col("close") + 1)
+    merged, pcols = sink.merge_plan(spark, path, upd, ["symbol", "date"], df.schema, partition_by=("month",))
+    assert pcols == ["month"]
+    assert "dynamicpruningexpression(month" in formatted(merged)
