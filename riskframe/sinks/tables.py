@@ -58,8 +58,11 @@ def upsert(target: DataFrame, updates: DataFrame, keys, update_cols=None, insert
     carry) take the update's value, other columns keep the target's.
     Unmatched updates are inserted: columns the updates lack get
     ``insert_defaults[c]`` (a Column) or null. Target rows without an update
-    stay as they are; nothing is deleted. A key repeated in ``updates`` makes
-    the job fail (one target row, two sources) when ``check_unique``.
+    stay as they are; nothing is deleted. Keys match with ``=`` as in MERGE
+    (a null key never matches). A key repeated in ``updates`` makes the job
+    fail (one target row, two sources) when ``check_unique``. The duplicate
+    check is a window on the update keys whose hash partitioning the merge
+    join reuses: one exchange per side.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     insert_defaults = insert_defaults or {}
@@ -73,7 +76,7 @@ def upsert(target: DataFrame, updates: DataFrame, keys, update_cols=None, insert
     t = target.select(*tcols, F.lit(True).alias("_t"))
     cond = None
     for k in keys:
-        c = t[k].eqNullSafe(u[f"_u_{k}"])
+        c = t[k] == u[f"_u_{k}"]      # MERGE ON t.k = s.k: a null key never matches
         cond = c if cond is None else cond & c
     j = t.join(u, cond, "full_outer")
     matched_u, has_t = F.col("_u").isNotNull(), F.col("_t").isNotNull()
