@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.llm.common import table
+from riskframe.llm.decontam import find_leaks
 from riskframe.llm.linededup import dedup_lines
 from riskframe.llm.mixing import mix_sources
+from riskframe.llm.topk import top_k
+from riskframe.llm.urls import judge_urls
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +20,23 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_dropped", "kept_sha256"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and benchmark item that it holds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("row.doc_id").alias("doc_id"), F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return (judge_urls(pages)
+            .select(F.col("row.page_id").alias("page_id"), "host", "path", "rule", "score", "verdict"))
+
+
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 100 == 0)
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return (mix_sources(docs)
@@ -25,6 +45,9 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
+    "op6_decontamination": op6_decontamination,
+    "op7_url_filter": op7_url_filter,
+    "op8_top_k": op8_top_k,
     "op9_mixing": op9_mixing,
 }
 
@@ -48,5 +71,19 @@ WITH parts AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE lost) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT lost), '')) AS kept_sha256
 FROM judged GROUP BY doc_id
+""",
+    "op8_top_k": r"""
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM usable q JOIN usable c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 10
 """,
 }
