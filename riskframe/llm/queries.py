@@ -4,22 +4,43 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import table
+from riskframe.llm.common import fold, table
 from riskframe.llm.decontam import find_leaks
+from riskframe.llm.langid import fit_languages, identify
 from riskframe.llm.linededup import dedup_lines
 from riskframe.llm.mixing import mix_sources
+from riskframe.llm.quality import fit_quality, score_quality
 from riskframe.llm.topk import top_k
+from riskframe.llm.toxicity import fit_toxicity, score_toxicity
 from riskframe.llm.urls import judge_urls
 
 
+def held_out(n: int, left: int) -> Column:
+    return fold(F.col("doc_id"), n) == left
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels"), ~held_out(5, 0))
+    return (score_toxicity(docs, model)
+            .select("doc_id", held_out(5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
             .select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_dropped", "kept_sha256"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_quality(docs, table(spark, sf_dir, "labels"), ~held_out(3, 1))
+    return (score_quality(docs, model)
+            .select("doc_id", held_out(3, 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document and benchmark item that it holds."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -43,12 +64,22 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.col("row.doc_id").alias("doc_id"), "source", "size", "source_size", "target", "taken"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_languages(docs, ~held_out(4, 2))
+    return (identify(docs.select("doc_id", "text"), model)
+            .select("doc_id", held_out(4, 2).alias("held_out"), "lang_pred", "score"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_line_dedup": op2_line_dedup,
+    "op5_quality": op5_quality,
     "op6_decontamination": op6_decontamination,
     "op7_url_filter": op7_url_filter,
     "op8_top_k": op8_top_k,
     "op9_mixing": op9_mixing,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE: dict[str, str] = {
