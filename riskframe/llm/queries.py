@@ -11,7 +11,9 @@ from riskframe.llm.common import fold, table
 from riskframe.llm.decontam import find_leaks
 from riskframe.llm.langid import fit_languages, identify
 from riskframe.llm.linededup import dedup_lines
+from riskframe.llm.lm import score_texts
 from riskframe.llm.mixing import mix_sources
+from riskframe.llm.neardup import near_duplicates
 from riskframe.llm.quality import fit_quality, score_quality
 from riskframe.llm.topk import top_k
 from riskframe.llm.toxicity import fit_toxicity, score_toxicity
@@ -34,6 +36,18 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_dropped", "kept_sha256"))
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return (score_texts(docs, ~held_out(7, 2))
+            .select(F.col("id").alias("doc_id"), (fold(F.col("id"), 7) == 2).alias("held_out"),
+                    "n_tokens", "n_known", "train_tokens", "base_score", "score"))
+
+
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(F.col("id").alias("doc_id"), "class_id")
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = fit_quality(docs, table(spark, sf_dir, "labels"), ~held_out(3, 1))
@@ -74,6 +88,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_line_dedup": op2_line_dedup,
+    "op3_lm_score": op3_lm_score,
+    "op4_near_dedup": op4_near_dedup,
     "op5_quality": op5_quality,
     "op6_decontamination": op6_decontamination,
     "op7_url_filter": op7_url_filter,
