@@ -27,10 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.llm.samples import in_groups
+
 Q = 8  # a q-gram is one 64-bit word
 SPACES = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
 FILTER_BITS, ODD = 20, np.uint64(0x9E3779B97F4A7C15)
-CHUNK = 1 << 22  # bytes of documents whose q-grams are looked up at once
+CHUNK = 1 << 20  # bytes of documents whose q-grams are looked up at once
+PLACES = 1 << 12  # more than a passage has bytes
 
 
 def normal(text: str) -> bytes:
@@ -50,7 +53,6 @@ def filter_slot(g: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Index:
-    passages: list[bytes]
     items: np.ndarray      # item of each passage
     budget: np.ndarray     # edits allowed in each passage
     bound: np.ndarray      # shared q-grams needed
@@ -59,15 +61,18 @@ class Index:
     passage: np.ndarray    # postings
     offset: np.ndarray
     maybe: np.ndarray      # which filter slots hold a q-gram
+    matrix: np.ndarray     # bytes of each passage, zero-padded
+    sizes: np.ndarray
     short: list[tuple[int, bytes]]
 
     @property
     def reach(self) -> int:
         """Step of the diagonal bands: no less than any budget."""
-        return max(16, int(self.budget.max(initial=0)))
+        return max(16, int(self.budget.max(initial=0)) + 1)
 
 
 def build_index(rows: list[tuple[int, str | None]], error: float, size: int) -> Index:
+    assert size < PLACES
     passages, items, short = [], [], []
     for item, text in rows:
         data = normal(text or "").strip()
@@ -89,73 +94,114 @@ def build_index(rows: list[tuple[int, str | None]], error: float, size: int) ->
     keys, first = np.unique(g_all[order], return_index=True)
     maybe = np.zeros(1 << FILTER_BITS, bool)
     maybe[filter_slot(keys)] = True
-    return Index(passages, np.array(items, np.int64), budget, m - Q + 1 - budget * Q, keys,
-                 np.append(first, len(order)), owner[order], offset[order], maybe, short)
-
-
-def align(pattern: bytes, data: bytes, low: int, high: int) -> tuple[int, int]:
-    """(fewest edits, end in data) of ``pattern`` inside ``data`` with the path kept on diagonals low..high."""
-    p, d = np.frombuffer(pattern, np.uint8), np.frombuffer(data, np.uint8)
-    width = high - low + 1
-    padded = np.zeros(len(p) + width + 1, np.int16) - 1  # what lies outside the text matches nothing
-    at = np.arange(low, low + len(padded))
-    inside = (at >= 0) & (at < len(d))
-    padded[inside] = d[at[inside]]
-    ramp = np.arange(width)
-    row = np.where((low + ramp >= 0) & (low + ramp <= len(d)), 0, len(p) + 1)  # starts anywhere in the text
-    for i, c in enumerate(p):
-        new = row + (padded[i:i + width] != c)
-        new[:-1] = np.minimum(new[:-1], row[1:] + 1)
-        row = np.minimum.accumulate(new - ramp) + ramp
-    end = len(p) + low + ramp
-    row = np.where((end >= 0) & (end <= len(d)), row, len(p) + 1)
-    best = int(row.argmin())
-    return int(row[best]), int(end[best])
-
-
-def matches(text: str | None, index: Index) -> list[dict]:
-    """Per item of the index that ``text`` holds: fewest edits, its passages found, first start and last end (characters)."""
-    data = normal(text or "")
-    found: dict[int, list[tuple[int, int, int]]] = {}
-    for item, whole in index.short:
-        if (at := data.find(whole)) >= 0:
-            found.setdefault(item, []).append((0, at, at + len(whole)))
-    step = index.reach
-    at, owner, diag = [], [], []
-    for start in range(0, len(data), CHUNK):
-        g = grams(data[start:start + CHUNK + Q - 1])
-        near = np.flatnonzero(index.maybe[filter_slot(g)])
+    matrix = np.zeros((len(passages), int(m.max(initial=0))), np.uint8)
+    for i, p in enumerate(passages):
+        matrix[i, :len(p)] = np.frombuffer(p, np.uint8)
+    return Index(np.array(items, np.int64), budget, m - Q + 1 - budget * Q, keys, np.append(first, len(order)),
+                 owner[order], offset[order], maybe, matrix, m, short)
+
+
+def align(patterns: np.ndarray, sizes: np.ndarray, texts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(fewest edits, diagonal of the end) of each pattern inside its text, the path kept on ``width`` diagonals.
+
+    Row c of ``texts`` begins with the byte on the lowest diagonal for the pattern's first byte; the pattern may begin
+    on any of the diagonals. All pairs advance together, byte by byte of their patterns.
+    """
+    ramp = np.arange(width, dtype=np.int16)
+    row = np.zeros((len(patterns), width), np.int16)
+    edits, end = np.zeros(len(patterns), np.int64), np.zeros(len(patterns), np.int64)
+    for i in range(patterns.shape[1]):
+        new = row + (texts[:, i:i + width] != patterns[:, i:i + 1])
+        np.minimum(new[:, :-1], row[:, 1:] + 1, out=new[:, :-1])
+        row = np.minimum.accumulate(new - ramp, 1) + ramp
+        for c in np.flatnonzero(sizes == i + 1):
+            end[c] = row[c].argmin()
+            edits[c] = row[c, end[c]]
+    return edits, end
+
+
+def shared_bands(buffer: bytes, index: Index) -> tuple[np.ndarray, np.ndarray]:
+    """(passage, band): the diagonal bands of the buffer that share as many q-grams with a passage as the bound asks."""
+    owner, place, diag = [], [], []
+    for start in range(0, len(buffer), CHUNK):
+        g = grams(buffer[start:start + CHUNK + Q - 1])
+        near = np.flatnonzero(index.maybe.take(filter_slot(g)))
         g = g[near]
-        k = np.minimum(np.searchsorted(index.keys, g), max(0, len(index.keys) - 1))
-        hit = index.keys[k] == g if len(index.keys) else np.zeros(0, bool)
+        k = np.searchsorted(index.keys, g)
+        k[k == len(index.keys)] = 0
+        hit = index.keys[k] == g
         k, pos = k[hit], near[hit] + start
         n = index.first[k + 1] - index.first[k]
         post = np.repeat(index.first[k] - np.cumsum(n) + n, n) + np.arange(n.sum())
         owner.append(index.passage[post])
-        diag.append(np.repeat(pos, n) - index.offset[post])
-    if owner and sum(map(len, owner)):
-        owner, diag = np.concatenate(owner), np.concatenate(diag)
-        band, spare = np.divmod(diag, step)
-        both = spare < index.budget[owner]  # also in the band before, which reaches that far
-        owner, band = np.r_[owner, owner[both]], np.r_[band, band[both] - 1]
-        low = band.min()
-        span = int(band.max() - low) + 1
-        key, count = np.unique(owner * span + (band - low), return_counts=True)
-        keep = count >= index.bound[key // span]
-        for o, b in zip((key // span)[keep], (key % span + low)[keep]):
-            p, edits = index.passages[o], int(index.budget[o])
-            first = int(b) * step - edits
-            begin = max(0, first - edits)
-            region = data[begin:int(b) * step + step + 2 * edits + len(p)]
-            e, end = align(p, region, first - begin, first - begin + step + 3 * edits)
-            if e <= edits:
-                back = region[max(0, end - len(p) - edits):end][::-1]
-                _, size = align(p[::-1], back, 0, min(2 * edits, max(0, len(back) - len(p) + edits)))
-                found.setdefault(int(index.items[o]), []).append((e, begin + max(0, end - size), begin + end))
-    chars = lambda n: len(data[:n].decode(errors="ignore"))
-    return [{"item_id": item, "edits": min(s[0] for s in spans), "passages": len({s[2] for s in spans}),
-             "start": chars(min(s[1] for s in spans)), "end": chars(max(s[2] for s in spans))}
-            for item, spans in sorted(found.items())]
+        place.append(index.offset[post])
+        diag.append(np.repeat(pos, n) - place[-1])
+    owner, place, diag = (np.concatenate(x) for x in (owner, place, diag))
+    band, spare = np.divmod(diag, index.reach)
+    both = np.flatnonzero(spare < index.budget[owner])  # also in the band before, which reaches that far
+    owner, place, band = (np.r_[x, x[both]] for x in (owner, place, band))
+    band[len(diag):] -= 1
+    if not len(band):
+        return owner, band
+    low, span = band.min(), int(band.max() - band.min()) + 1
+    key = owner * span + (band - low)
+    # all hits of a slot of bands first, then each q-gram of a passage once in its band
+    slot = ((key.astype(np.uint64) * ODD) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+    many = np.flatnonzero(np.bincount(slot, minlength=1 << FILTER_BITS)[slot] >= index.bound[owner])
+    found, count = np.unique(np.unique(key[many] * PLACES + place[many]) // PLACES, return_counts=True)
+    full = found[count >= index.bound[found // span]]
+    return full // span, full % span + low
+
+
+def aligned(buffer: np.ndarray, owner: np.ndarray, band: np.ndarray, index: Index) -> tuple[np.ndarray, ...]:
+    """(passage, edits, begin, end in the buffer) of the bands whose passage is there within its budget."""
+    out = [np.zeros((4, 0), np.int64)]
+    most = int(index.budget.max(initial=0))
+    width = index.reach + 2 * most + 1
+    order = np.argsort(index.sizes[owner], kind="stable")
+    for lo in range(0, len(order), 512):
+        o, b = owner[order[lo:lo + 512]], band[order[lo:lo + 512]]
+        sizes = index.sizes[o]
+        patterns = index.matrix[o, :sizes.max()]
+        at = b * index.reach - most
+        edits, end = align(patterns, sizes, buffer.take(at[:, None] + np.arange(patterns.shape[1] + width), mode="clip"), width)
+        good = np.flatnonzero(edits <= index.budget[o])
+        o, edits, end, sizes = o[good], edits[good], (at + end)[good] + sizes[good], sizes[good]
+        if not len(o):
+            continue
+        # backwards from the end, for the begin
+        places = sizes[:, None] - 1 - np.arange(sizes.max())
+        back = np.where(places >= 0, index.matrix[o[:, None], np.maximum(places, 0)], 0)
+        width_ = 2 * most + 1
+        _, first = align(back, sizes, buffer.take((end + most - 1)[:, None] - np.arange(back.shape[1] + width_), mode="clip"), width_)
+        out.append(np.stack([o, edits, end + most - first - sizes, end]))
+    return tuple(np.concatenate(out, 1))
+
+
+def matches(texts: list[str | None], index: Index) -> list[list[dict]]:
+    """Per text and item that it holds: fewest edits, passages found, first start and last end (characters)."""
+    data = [normal(t or "") for t in texts]
+    gap = b"\0" * (index.reach + 1)  # more than any budget, so no match runs over it
+    sizes = np.array([len(d) + len(gap) for d in data])
+    starts = np.cumsum(sizes) - sizes + len(gap)
+    buffer = gap + b"".join(d + gap for d in data)
+    spans: list[dict[int, list]] = [{} for _ in data]
+    for item, whole in index.short:
+        for k, d in enumerate(data):
+            if (at := d.find(whole)) >= 0:
+                spans[k].setdefault(item, []).append((0, at, at + len(whole), -1))
+    if len(index.keys):
+        for p, edits, begin, end in zip(*aligned(np.frombuffer(buffer, np.uint8), *shared_bands(buffer, index), index)):
+            k = int(np.searchsorted(starts, end - 1, side="right")) - 1
+            begin, end = max(0, int(begin - starts[k])), min(len(data[k]), int(end - starts[k]))
+            spans[k].setdefault(int(index.items[p]), []).append((int(edits), begin, end, int(p)))
+    out = []
+    for d, own in zip(data, spans):
+        chars = lambda n, d=d: len(d[:n].decode(errors="ignore"))
+        out.append([{"item_id": item, "edits": min(s[0] for s in found), "passages": len({s[3] for s in found}),
+                     "start": chars(min(s[1] for s in found)), "end": chars(max(s[2] for s in found))}
+                    for item, found in sorted(own.items())])
+    return out
 
 
 LEAK = pa.struct([("item_id", pa.int64()), ("edits", pa.int64()), ("passages", pa.int64()),
@@ -182,8 +228,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
         def run(batches, index=index):
             for b in batches:
                 row = b.column(0)
-                texts = row.field(text_col).to_pylist()
-                found = [old + matches(t, index.value) for old, t in zip(b.column(1).to_pylist(), texts)]
+                new = [m for group in in_groups(row.field(text_col).to_pylist()) for m in matches(group, index.value)]
+                found = [old + m for old, m in zip(b.column(1).to_pylist(), new)]
                 yield pa.RecordBatch.from_arrays([row, pa.array(found, pa.list_(LEAK))], names=["row", "leaks"])
 
         out = out.mapInArrow(run, schema)
