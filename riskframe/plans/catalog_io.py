@@ -137,7 +137,7 @@ def q_scan_query_history(spark, d):
     return src.history_window(src.read_history(spark, f"{root}/query_history"), HISTORY_AS_OF, HISTORY_HOURS)
 
 
-@register("date_spine", wf("select * from date_spine", *o.POSITIONS))
+@register("date_spine", wf("select * from calendar", *o.POSITIONS))
 def q_date_spine(spark, d):
     return pos.date_spine(spark, pos.start_date(fx.portfolio_transactions(spark, d)), AS_OF)
 

@@ -162,7 +162,7 @@ def q_price_projection(spark, d):
 HOLDING_COLS = ["portfolio_id", "date", "symbol", "close_gbp", "daily_return", "quantity", "position_value_gbp"]
 
 
-@register("holding_value", wf(f"select {_sel(HOLDING_COLS, ('daily_return',))} from holdings", *o.METRIC_CHAIN))
+@register("holding_value", wf(f"select {_sel(HOLDING_COLS, ('daily_return',))} from worth", *o.METRIC_CHAIN))
 def q_holding_value(spark, d):
     return rnd(met.holdings(prices_of(spark, d), positions_of(spark, d)), "daily_return")
 
@@ -172,7 +172,7 @@ def q_pair_filter(spark, d):
     return fx.fx_daily(spark, d).filter(F.col("pair") == "USDGBP")
 
 
-@register("rename_project", wf(f"select portfolio_id, \"date\", {r('daily_return')}, total_value_gbp from adv_base",
+@register("rename_project", wf(f"select portfolio_id, \"date\", {r('weighted_daily_return', 'daily_return')}, total_value_gbp from totals",
                                *o.ADVANCED_CHAIN))
 def q_rename_project(spark, d):
     return rnd(adv.base(metrics_of(spark, d)), "daily_return")
@@ -228,7 +228,7 @@ def q_join_prices_dim(spark, d):
 
 @register("join_holdings", wf("""select pos.portfolio_id, fp.symbol, fp."date", fp.close_gbp, pos.quantity
                                   from fact_prices fp join positions_daily pos
-                                  on fp.symbol = pos.symbol and fp."date" = pos."date" """, *o.METRIC_CHAIN[:-3]))
+                                  on fp.symbol = pos.symbol and fp."date" = pos."date" """, *o.PRICE_CHAIN, *o.POSITIONS))
 def q_join_holdings(spark, d):
     return met.holdings(prices_of(spark, d), positions_of(spark, d)).select(
         "portfolio_id", "symbol", "date", "close_gbp", "quantity")
@@ -250,21 +250,25 @@ def q_daily_var_95(spark, d):
 
 @register("join_prior_positions", wf(f"""
     select b.symbol, b.portfolio_id, coalesce(p.quantity, 0) as prior_qty
-    from base_pairs b left join positions_daily p
+    from pair_list b left join positions_daily p
       on b.symbol = p.symbol and b.portfolio_id = p.portfolio_id and p."date" = date '{D1}'""", *o.POSITIONS))
 def q_join_prior_positions(spark, d):
     t = fx.portfolio_transactions(spark, d)
     return pos.priors(pos.pairs(t), positions_of(spark, d), D1)
 
 
-@register("cross_spine", wf("select b.symbol, b.portfolio_id, s.\"date\" from base_pairs b cross join date_spine s",
+@register("cross_spine", wf("select b.symbol, b.portfolio_id, s.\"date\" from pair_list b cross join calendar s",
                             *o.POSITIONS))
 def q_cross_spine(spark, d):
     t = fx.portfolio_transactions(spark, d)
     return pos.cross_spine(pos.pairs(t), pos.start_date(t), AS_OF)
 
 
-@register("join_deltas", wf("select symbol, portfolio_id, \"date\", qty_delta from matrix", *o.POSITIONS))
+@register("join_deltas", wf("""
+    select symbol, portfolio_id, "date", sum(traded) as qty_delta
+    from (select symbol, portfolio_id, "date", 0.0::double as traded from pair_list, calendar
+          union all select symbol, portfolio_id, day, traded from trade_days) z
+    group by symbol, portfolio_id, "date" """, *o.POSITIONS))
 def q_join_deltas(spark, d):
     t = fx.portfolio_transactions(spark, d)
     start = pos.start_date(t)
@@ -288,8 +292,8 @@ def q_running_quantity(spark, d):
     return pos.running_quantity(pos.matrix(pos.cross_spine(pos.pairs(t), start, AS_OF), pos.deltas(t, start, AS_OF)))
 
 
-@register("join_benchmark", wf(f"""select "date", portfolio_id, {r('portfolio_return')}, {r('benchmark_return')}
-                                   from joined""", *o.ADVANCED_CHAIN))
+@register("join_benchmark", wf(f"""select "date", portfolio_id, {r('x', 'portfolio_return')}, {r('y', 'benchmark_return')}
+                                   from beside_market""", *o.ADVANCED_CHAIN))
 def q_join_benchmark(spark, d):
     j = adv.join_benchmark(adv.base(metrics_of(spark, d)), adv.benchmark_returns(fx.fact_benchmark(spark, d)))
     return rnd(j, "portfolio_return", "benchmark_return")
@@ -304,31 +308,32 @@ def q_join_metric_star(spark, d):
 
 
 # ------------------------------------------------------------------ 2.5 aggregates
-@register("portfolio_total_value", wf("select portfolio_id, \"date\", total_value_gbp from daily", *o.METRIC_CHAIN))
+@register("portfolio_total_value", wf("select portfolio_id, \"date\", total_value_gbp from totals", *o.METRIC_CHAIN))
 def q_portfolio_total_value(spark, d):
     return met.daily(met.holdings(prices_of(spark, d), positions_of(spark, d))).select(
         "portfolio_id", "date", "total_value_gbp")
 
 
-@register("weighted_daily_return", wf(f"select portfolio_id, \"date\", {r('weighted_daily_return')} from daily",
+@register("weighted_daily_return", wf(f"select portfolio_id, \"date\", {r('weighted_daily_return')} from totals",
                                       *o.METRIC_CHAIN))
 def q_weighted_daily_return(spark, d):
     dl = met.daily(met.holdings(prices_of(spark, d), positions_of(spark, d)))
     return rnd(dl.select("portfolio_id", "date", "weighted_daily_return"), "weighted_daily_return")
 
 
-@register("daily_deltas", wf("select * from deltas", *o.POSITIONS))
+@register("daily_deltas", wf("select portfolio_id, symbol, day as \"date\", traded as qty_delta from trade_days",
+                              *o.POSITIONS))
 def q_daily_deltas(spark, d):
     t = fx.portfolio_transactions(spark, d)
     return pos.deltas(t, pos.start_date(t), AS_OF)
 
 
-@register("distinct_pairs", wf("select * from base_pairs", *o.POSITIONS))
+@register("distinct_pairs", wf("select * from pair_list", *o.POSITIONS))
 def q_distinct_pairs(spark, d):
     return pos.pairs(fx.portfolio_transactions(spark, d))
 
 
-@register("first_transaction_date", wf("select last_date from params", *o.POSITIONS))
+@register("first_transaction_date", wf("select first_day - 1 as last_date from opening", *o.POSITIONS))
 def q_first_transaction_date(spark, d):
     return pos.start_date(fx.portfolio_transactions(spark, d))
 
@@ -407,9 +412,9 @@ def _stats_base(spark, d):
     return adv.base(metrics_of(spark, d))
 
 
-STAT_MAP = {"rolling_avg_return": ("avg_return_30d", "stats_portfolio", "avg_portfolio_return_30d"),
-            "rolling_return_vol": ("vol_return_30d", "stats_portfolio", "vol_return_30d"),
-            "downside_vol": ("down_vol_return_30d", "downside_vol", "down_vol_return_30d")}
+STAT_MAP = {"rolling_avg_return": ("avg_return_30d", "month_stats", "mean_return"),
+            "rolling_return_vol": ("vol_return_30d", "month_stats", "deviation"),
+            "downside_vol": ("down_vol_return_30d", "month_stats", "loss_deviation")}
 
 
 def _stat_col(name):
@@ -425,12 +430,12 @@ for _n in STAT_MAP:
     _stat_col(_n)
 
 
-@register("running_peak", wf("select portfolio_id, \"date\", running_peak from drawdowns", *o.ADVANCED_CHAIN))
+@register("running_peak", wf("select portfolio_id, \"date\", running_peak from falls", *o.ADVANCED_CHAIN))
 def q_running_peak(spark, d):
     return adv.drawdown(_stats_base(spark, d)).select("portfolio_id", "date", "running_peak")
 
 
-@register("drawdown", wf(f"select portfolio_id, \"date\", {r('drawdown')} from drawdowns", *o.ADVANCED_CHAIN))
+@register("drawdown", wf(f"select portfolio_id, \"date\", {r('drawdown')} from falls", *o.ADVANCED_CHAIN))
 def q_drawdown(spark, d):
     return rnd(adv.drawdown(_stats_base(spark, d)).select("portfolio_id", "date", "drawdown"), "drawdown")
 
@@ -442,7 +447,7 @@ def q_max_drawdown(spark, d):
                "max_drawdown")
 
 
-@register("benchmark_return", wf(f"select \"date\", symbol, {r('benchmark_return')} from benchmark_daily",
+@register("benchmark_return", wf(f"select \"date\", symbol, {r('benchmark_return')} from market",
                                  *o.ADVANCED_CHAIN))
 def q_benchmark_return(spark, d):
     return rnd(adv.benchmark_returns(fx.fact_benchmark(spark, d)), "benchmark_return")
@@ -458,7 +463,7 @@ PAIR_MAP = {"rolling_row_count": (["rolling_row_count"], ["n as rolling_row_coun
 def _pair_col(name):
     cols, sql_cols = PAIR_MAP[name]
 
-    @register(name, wf(f"select portfolio_id, \"date\", {', '.join(sql_cols)} from stats_ba", *o.ADVANCED_CHAIN))
+    @register(name, wf(f"select portfolio_id, \"date\", {', '.join(sql_cols)} from comoments", *o.ADVANCED_CHAIN))
     def q(spark, d):
         j = adv.join_benchmark(_stats_base(spark, d), adv.benchmark_returns(fx.fact_benchmark(spark, d)))
         out = adv.pair_stats(j).select("portfolio_id", "date", *cols)
@@ -605,7 +610,7 @@ def q_scalar_strings(spark, d):
 
 
 @register("scalar_rounding", wf("""select portfolio_id, "date", round(total_value_gbp, 2) as value_2dp,
-                                          round(weighted_daily_return, 4) as return_4dp from daily""", *o.METRIC_CHAIN))
+                                          round(weighted_daily_return, 4) as return_4dp from totals""", *o.METRIC_CHAIN))
 def q_scalar_rounding(spark, d):
     dl = met.daily(met.holdings(prices_of(spark, d), positions_of(spark, d)))
     return dl.select("portfolio_id", "date", F.round("total_value_gbp", 2).alias("value_2dp"),
