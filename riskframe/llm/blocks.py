@@ -133,8 +133,8 @@ def block_rows(batch: pa.RecordBatch) -> Iterator[tuple[int, int, Block]]:
         yield row["block"], row["part"], Block.of(row["ids"], row["sizes"], row["words"], row["codes"])
 
 
-def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
-    return ((keys >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
+def shard_of(keys: np.ndarray, shards: int, bits: int) -> np.ndarray:
+    return ((keys >> np.uint64(bits - 32)) * np.uint64(shards)) >> np.uint64(32)
 
 
 def tally(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -154,11 +154,11 @@ def tally(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["kind", "shard", "block", "kept", "extra", "distinct"])
 
 
-def count_keys(blocks: DataFrame, kinds: list[int], keys_of: KeysOf, shards: int) -> DataFrame:
+def count_keys(blocks: DataFrame, kinds: list[int], keys_of: KeysOf, shards: int, bits: int = 64) -> DataFrame:
     """Replies to all blocks: for each kind of key and shard, totals in the order of the block's sorted keys.
 
-    ``keys_of(block, kind)`` gives the block's distinct keys, sorted, and their counts in the block. Parts other than 0
-    and 1 ask but don't count. ``distinct`` is the number of counted keys of a shard, on one of its rows.
+    ``keys_of(block, kind)`` gives the block's distinct keys (below 2 ** ``bits``), sorted, and their counts in the
+    block. Parts other than 0 and 1 ask but don't count. ``distinct`` is the number of counted keys of a shard, on one of its rows.
     """
     types = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
     names = ["kind", "shard", "block", "part", "keys", "counts"]
@@ -169,7 +169,7 @@ def count_keys(blocks: DataFrame, kinds: list[int], keys_of: KeysOf, shards: int
                 rows = []
                 for kind in kinds:
                     keys, counts = keys_of(own, kind)
-                    shard = shard_of(keys, shards).astype(np.int64)
+                    shard = shard_of(keys, shards, bits).astype(np.int64)
                     edges = np.flatnonzero(np.diff(shard, prepend=-1))
                     for lo, hi in zip(edges, np.append(edges[1:], len(keys))):
                         rows.append((kind, int(shard[lo]), block, part, packed_sorted(keys[lo:hi]), packed(counts[lo:hi].astype(np.uint32))))
@@ -193,7 +193,6 @@ def with_replies(blocks: DataFrame, replies: DataFrame, answer: Callable[[int, B
     return blocks.groupBy("block").cogroup(replies.select("kind", "shard", "block", "kept", "extra").groupBy("block")).applyInPandas(run, schema)
 
 
-def n_shards(blocks: DataFrame) -> int:
-    spark = blocks.sparkSession
-    tokens = blocks.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-tokens // SHARD_KEYS))
+def block_totals(blocks: DataFrame) -> tuple[int, int]:
+    """(documents, tokens)."""
+    return tuple(blocks.agg(F.coalesce(F.sum("docs"), F.lit(0)), F.coalesce(F.sum("tokens"), F.lit(0))).first())

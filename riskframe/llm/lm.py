@@ -22,8 +22,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.blocks import ODD, Block, count_keys, mixed, n_shards, to_blocks, with_replies
-from riskframe.llm.common import stored
+from riskframe.llm.blocks import ODD, SHARD_KEYS, Block, block_totals, count_keys, mixed, to_blocks, with_replies
+from riskframe.llm.common import stored, width
 
 END = b"\n"  # no word holds it
 KEPT, DELETED, OTHER = 0, 1, 2
@@ -99,7 +99,8 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
             .when(F.expr(f"pmod(xxhash64(`{id_col}`), {deleted_share})") == 0, DELETED).otherwise(KEPT))
     blocks = stored(to_blocks(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), part.alias("part")), END), "lm-blocks")
     kinds = list(range(1, order + 1))
-    replies = stored(count_keys(blocks, kinds, distinct_ngrams, n_shards(blocks)), "lm-counts")
+    shards = width(docs.sparkSession, block_totals(blocks)[1], SHARD_KEYS)
+    replies = stored(count_keys(blocks, kinds, distinct_ngrams, shards), "lm-counts")
     size = {r["part"]: (r["tokens"], r["docs"]) for r in blocks.groupBy("part").agg(F.sum("tokens").alias("tokens"), F.sum("docs").alias("docs")).collect()}
     words = replies.filter("kind = 1").agg(F.coalesce(F.sum("distinct"), F.lit(0))).first()[0]
     kept_tokens, kept_docs = size.get(KEPT, (0, 0))

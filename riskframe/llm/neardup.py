@@ -33,8 +33,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.blocks import ODD, Block, count_keys, mixed, n_shards, to_blocks, with_replies
-from riskframe.llm.common import stored, whole_text
+from riskframe.llm.blocks import ODD, SHARD_KEYS, Block, block_totals, count_keys, mixed, to_blocks, with_replies
+from riskframe.llm.common import stored, whole_text, width
 from riskframe.llm.components import components
 
 SHINGLE = 5
@@ -74,9 +74,22 @@ def per_document(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return distinct, pair // max(1, len(distinct)), pair % max(1, len(distinct)), tf
 
 
-def distinct_shingles(block: Block, kind: int) -> tuple[np.ndarray, np.ndarray]:
-    distinct, _, place, _ = per_document(block)
-    return distinct, np.bincount(place, minlength=len(distinct))
+def counted_keys(distinct: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(the high bits of sorted keys, distinct; place of each key among them).
+
+    Counting takes 24 bits more than it needs to number all tokens, at any size of the corpus: a shingle shares them
+    with another one in less than one of 10 million cases, and then counts as a little more frequent.
+    """
+    return np.unique(distinct >> np.uint64(64 - bits), return_inverse=True)
+
+
+def shingle_counts(bits: int):
+    def keys_of(block: Block, kind: int) -> tuple[np.ndarray, np.ndarray]:
+        distinct, _, place, _ = per_document(block)
+        keys, at = counted_keys(distinct, bits)
+        return keys, np.bincount(at[place], minlength=len(keys))
+
+    return keys_of
 
 
 def draw(keys: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -99,6 +112,14 @@ def draw(keys: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return sample
 
 
+def band_keys(sample: np.ndarray) -> np.ndarray:
+    s, key = sample[:BANDS * ROWS].astype(np.uint64).reshape(BANDS, ROWS), np.zeros(BANDS, np.uint64)
+    with np.errstate(over="ignore"):
+        for r in range(ROWS):
+            key = mixed(key * ODD + s[:, r])
+    return key
+
+
 def weighted_jaccard(a_keys: bytes, a_weights: bytes, b_keys: bytes, b_weights: bytes) -> float:
     ak, bk = np.frombuffer(a_keys, np.uint64), np.frombuffer(b_keys, np.uint64)
     aw, bw = np.frombuffer(a_weights, np.float32).astype(float), np.frombuffer(b_weights, np.float32).astype(float)
@@ -107,21 +128,24 @@ def weighted_jaccard(a_keys: bytes, a_weights: bytes, b_keys: bytes, b_weights:
     return float(low / (aw.sum() + bw.sum() - low))
 
 
-MEMBERS = "id long, t1 long, t2 long, takes boolean, sample binary, keys binary, weights binary"
+MEMBERS = "id long, t1 long, t2 long, takes boolean, bands binary, sample binary, keys binary, weights binary"
 
 
-def members(blocks: DataFrame, replies: DataFrame, n_docs: int, threshold: float, idf_gain: float) -> DataFrame:
-    """Every document with the key of its token sequence; those that may have a partner also with samples and weights."""
+def members(blocks: DataFrame, replies: DataFrame, n_docs: int, bits: int, threshold: float, idf_gain: float) -> DataFrame:
+    """Every document with the key of its token sequence; those that may have a partner also with bands, samples and weights.
+
+    A byte of each sample is kept to compare samples by: two different ones agree in one of 256 cases.
+    """
     scale = idf_gain / max(1.0, np.log(max(2, n_docs)))
 
     def answer(part: int, block: Block, found: dict) -> pd.DataFrame:
         n, starts, sizes = len(block.sizes), block.starts, block.sizes
         text = np.array([np.frombuffer(xxhash.xxh3_128_digest(block.tokens[s:s + z].tobytes()), np.int64) for s, z in zip(starts, sizes)]).reshape(n, 2)
         out = {"id": block.ids, "t1": text[:, 0], "t2": text[:, 1], "takes": np.zeros(n, bool),
-               "sample": [None] * n, "keys": [None] * n, "weights": [None] * n}
+               "bands": [None] * n, "sample": [None] * n, "keys": [None] * n, "weights": [None] * n}
         if len(block.tokens):
             distinct, doc, place, tf = per_document(block)
-            df = found[0][0][place]
+            df = found[0][0][counted_keys(distinct, bits)[1]][place]
             w = (tf * (1 + scale * np.log(n_docs / df))).astype(np.float32)
             shared, total = np.bincount(doc, w * (df > 1), n), np.bincount(doc, w, n)
             out["takes"] = (sizes == 0) | (shared >= (threshold - 1e-6) * total)
@@ -130,7 +154,9 @@ def members(blocks: DataFrame, replies: DataFrame, n_docs: int, threshold: float
                 if (same := text[i].tobytes()) not in seen:  # once for each text of the block
                     seen.add(same)
                     k, own = distinct[place[edge[i]:edge[i + 1]]], w[edge[i]:edge[i + 1]]
-                    out["sample"][i], out["keys"][i], out["weights"][i] = draw(k, own).tobytes(), k.tobytes(), own.tobytes()
+                    sample = draw(k, own)
+                    out["bands"][i], out["sample"][i] = band_keys(sample).tobytes(), sample.astype(np.uint8).tobytes()
+                    out["keys"][i], out["weights"][i] = k.tobytes(), own.tobytes()
         else:
             out["takes"] = np.ones(n, bool)
         return pd.DataFrame(out)
@@ -143,19 +169,12 @@ def bucketed(texts: DataFrame, bucket_part: int) -> DataFrame:
 
     def split(batches):
         for b in batches:
-            ids, samples = b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_pylist()
-            if not len(ids):
-                continue
-            s = np.frombuffer(b"".join(samples), np.uint32).reshape(-1, SAMPLES)[:, :BANDS * ROWS].astype(np.uint64).reshape(-1, BANDS, ROWS)
-            key = np.zeros(s.shape[:2], np.uint64)
-            with np.errstate(over="ignore"):
-                for r in range(ROWS):
-                    key = mixed(key * ODD + s[:, :, r])
+            key = np.frombuffer(b"".join(b.column(1).to_pylist()), np.int64).reshape(-1, BANDS)
             for band in range(BANDS):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), band, np.int32)), pa.array(key[:, band].view(np.int64)), b.column(0), b.column(1)],
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), band, np.int32)), pa.array(np.ascontiguousarray(key[:, band])), b.column(0), b.column(2)],
                                                  names=["band", "key", "id", "sample"])
 
-    entries = texts.select("id", "sample").mapInArrow(split, "band int, key long, id long, sample binary")
+    entries = texts.select("id", "bands", "sample").mapInArrow(split, "band int, key long, id long, sample binary")
     size = entries.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     return (entries.join(size, ["band", "key"])
             .withColumn("deal", F.expr(f"pmod(xxhash64(id, band), ceil(n / {bucket_part}))"))
@@ -169,7 +188,7 @@ def close_pairs(buckets: DataFrame, forest: bool) -> DataFrame:
     """
 
     def pairs_of(ids: np.ndarray, samples: list[bytes], c: np.ndarray):
-        s = np.frombuffer(b"".join(samples), np.uint32).reshape(len(ids), SAMPLES)
+        s = np.frombuffer(b"".join(samples), np.uint8).reshape(len(ids), SAMPLES)
         a, b = np.triu_indices(len(ids), 1)
         if not forest:
             apart = c[a] != c[b]
@@ -234,7 +253,8 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
         return pd.Series([weighted_jaccard(*x) for x in zip(ak, aw, bk, bw)], dtype=float)
 
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    return both.select("a", "b", (similarity("ak", "aw", "bk", "bw") >= threshold).alias("similar"))
+    return (both.select("a", "b", (similarity("ak", "aw", "bk", "bw") >= threshold).alias("similar"))
+            .groupBy("a", "b").agg(F.max("similar").alias("similar")))  # an id that repeats may carry several texts
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8,
@@ -242,13 +262,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """id, class_id: every row of ``docs`` with the smallest id of its class."""
     ident = row_ident(F.col(id_col), F.col(text_col))
     blocks = stored(to_blocks(docs.select(ident.alias("id"), F.col(text_col).alias("text"), F.lit(0).alias("part"))), "near-blocks")
-    n_docs = blocks.agg(F.coalesce(F.sum("docs"), F.lit(0))).first()[0]
-    replies = count_keys(blocks, [0], distinct_shingles, n_shards(blocks))
-    every = stored(members(blocks, replies, n_docs, threshold, idf_gain), "near-members")
-    found = lambda c: F.first(c, ignorenulls=True).alias(c)  # noqa: E731  the same for all equal texts
-    texts = stored(every.filter("takes").groupBy("t1", "t2").agg(F.min("id").alias("id"), found("sample"), found("keys"), found("weights")), "near-texts")
-    some = texts.filter(F.col("sample").isNotNull())
-    buckets = stored(bucketed(some, bucket_part), "near-buckets")
+    n_docs, n_tokens = block_totals(blocks)
+    bits = min(64, 24 + max(16, n_tokens.bit_length()))
+    replies = count_keys(blocks, [0], shingle_counts(bits), width(docs.sparkSession, n_tokens, SHARD_KEYS), bits)
+    every = stored(members(blocks, replies, n_docs, bits, threshold, idf_gain), "near-members")
+    # a text is known by the smallest id among its rows that carry samples and weights (one row a block)
+    carrier = F.min(F.when(F.col("sample").isNotNull(), F.col("id"))).alias("carrier")
+    texts = stored(every.filter("takes").groupBy("t1", "t2").agg(F.min("id").alias("first"), carrier), "near-texts")
+    some = every.filter(F.col("sample").isNotNull())
+    carriers = some.select("id", "bands", "sample").join(texts.select(F.col("carrier").alias("id")), "id", "left_semi")
+    buckets = stored(bucketed(carriers, bucket_part), "near-buckets")
     tested = stored(verified(close_pairs(buckets, forest=True), some, threshold), "near-links")
     links = tested.filter("similar")
     labels = components(links)
@@ -258,8 +281,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     more = stored(verified(left, some, threshold).filter("similar"), "near-links")
     if not more.isEmpty():
         labels = components(links.select("a", "b").union(more.select("a", "b")))
-    classes = (texts.select("t1", "t2", "id").join(labels, F.col("id") == F.col("v"), "left")
-               .select("t1", "t2", F.coalesce("c", "id").alias("class_id")))
+    labelled = (texts.join(labels, F.col("carrier") == F.col("v"), "left")
+                .select("t1", "t2", F.coalesce("c", "carrier", "first").alias("label"), "first"))
+    smallest = labelled.groupBy("label").agg(F.min("first").alias("class_id"))
+    classes = labelled.join(smallest, "label").select("t1", "t2", "class_id")
     # a text may be held by a third of all rows: deal them, and give each deal the text's class
     deals = 16
     spread = classes.withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(deals - 1))))
