@@ -8,16 +8,20 @@ from pyspark.sql import functions as F
 from ..functions.columns import col_of, normalise_key, to_number
 
 
+ARRIVED = "_arrived"   # optional column of a feed: when the row's document arrived
+
+
 def dedupe_first(df: DataFrame, keys, order_by=None) -> DataFrame:
     """Keep the first row per key under ``order_by`` (ascending, nulls first;
-    default: the remaining columns in order, which makes the survivor unique).
+    default: the arrival when the frame carries one, then the remaining columns
+    in order, which makes the survivor unique).
 
     Planned as an aggregate, ``min(struct(order..., row))`` per key: map-side
     partial aggregation collapses duplicates before the shuffle, so a hot key
     costs one row per map task, not one task holding all its copies.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    others = [c for c in df.columns if c not in keys]
+    others = sorted((c for c in df.columns if c not in keys), key=lambda c: c != ARRIVED)
     order = [col_of(c) for c in (order_by if order_by is not None else others)]
     if isinstance(order_by, (str, Column)):
         order = [col_of(order_by)]

@@ -14,9 +14,9 @@ METRIC_COLUMNS = ["portfolio_id", "date", "total_value_gbp", "weighted_daily_ret
 def holdings(prices: DataFrame, positions: DataFrame) -> DataFrame:
     """J3 + P2: price rows x position rows on (symbol, date); non-trading days vanish.
 
-    The positions side is generated by ``explode`` (pairs x days), which the
+    The positions side can be generated by ``explode`` (pairs x days), which the
     planner's static size estimate does not see; the MERGE hint keeps it from
-    being broadcast on that estimate (AQE still re-plans on measured sizes)."""
+    being broadcast on that estimate. A hinted join stays a sort-merge join."""
     p = prices.select("symbol", "date", F.col("close_gbp").cast("double").alias("close_gbp"),
                       F.col("daily_return").cast("double").alias("daily_return"))
     q = positions.select("portfolio_id", "symbol", "date", F.col("quantity").cast("double").alias("quantity"))
@@ -54,7 +54,11 @@ def portfolio_metrics(prices: DataFrame, positions: DataFrame, vol_rows: int = 3
                       q: float = 0.05) -> DataFrame:
     """M3 (flagship): VIEW_PORTFOLIO_METRICS. Both windows share one partitioning
     and ordering, so they run in a single Window operator after one exchange."""
-    d = daily(holdings(prices, positions))
+    return over_days(daily(holdings(prices, positions)), vol_rows, var_days, q)
+
+
+def over_days(d: DataFrame, vol_rows: int = 30, var_days: int = 30, q: float = 0.05) -> DataFrame:
+    """The two rolling columns over the daily aggregate."""
     r = F.col("weighted_daily_return")
     return d.select(
         "portfolio_id", "date", "total_value_gbp", "weighted_daily_return",

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import date_lit
 from ..functions.windows import ordered, trailing_rows
 
+LONGEST_FRAME = 30   # rows of the longest price window
 PRICE_COLUMNS = ["symbol", "date", "company_name", "currency", "open", "high", "low", "close", "volume",
                  "usd_to_gbp", "close_gbp", "daily_return", "rolling_7d_avg_close", "rolling_30d_volatility"]
 
@@ -34,7 +35,7 @@ def project(df: DataFrame) -> DataFrame:
                      "usd_to_gbp", (F.col("close") * F.col("usd_to_gbp")).alias("close_gbp"))
 
 
-def with_window_stats(df: DataFrame, price: str = "close", avg_rows: int = 7, vol_rows: int = 30,
+def with_window_stats(df: DataFrame, price: str = "close", avg_rows: int = 7, vol_rows: int = LONGEST_FRAME,
                       entity: str = "symbol") -> DataFrame:
     """Return vs previous trading row, rolling mean, rolling stddev of levels."""
     w = ordered(entity)
@@ -80,7 +81,7 @@ def _history_for(priced: DataFrame, after: Column, lookback_rows: int, lookback_
 
 def fact_prices(equity: DataFrame, fx: DataFrame, dim: DataFrame, after=None, pair: str = "USDGBP",
                 history: str = "window", default_start: str = "2025-01-01",
-                lookback_days: int | None = None, avg_rows: int = 7, vol_rows: int = 30) -> DataFrame:
+                lookback_days: int | None = None, avg_rows: int = 7, vol_rows: int = LONGEST_FRAME) -> DataFrame:
     """M1: FACT_PRICES rows for dates > watermark.
 
     ``after``: None (use ``default_start``), a date, a Column, or a one-row

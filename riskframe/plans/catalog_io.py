@@ -26,7 +26,8 @@ from . import jobs
 from . import oracle_sql as o
 from .catalog import (ADV_ROUND, METRIC_ROUND, PRICE_ROUND, advanced_of, metrics_of, positions_of, prices_of,
                       register, rnd)
-from .catalog_ops import D1, DQ_RESULTS_SQL, HISTORY_COLS, HISTORY_WINDOW_SQL, checks_of, history_of
+from .catalog_ops import (D1, DQ_RESULTS_SQL, EQ_COLS as EQ_TYPES, EQ_FRESH, FX_FRESH, HISTORY_COLS, HISTORY_WINDOW_SQL,
+                          POS_CHECK, checks_of, history_of)
 from .fixtures import AS_OF, DEFAULT_START, HISTORY_AS_OF, HISTORY_HOURS, with_fixtures as wf
 from .store import Store
 
@@ -112,7 +113,7 @@ TXN_COLS = schemas.TRANSACTION_COLUMNS
 def q_scan_transactions_csv(spark, d):
     t = fx.portfolio_transactions(spark, d)
     path = _write_csv(spark, t, "txn-csv", list(reversed(TXN_COLS)))    # header order differs from the schema
-    return src.read_transactions_csv(spark, path)
+    return as_double(src.read_transactions_csv(spark, path))
 
 
 @register("scan_parquet", wf("select * from equity_daily"))
@@ -122,12 +123,12 @@ def q_scan_parquet(spark, d):
     return src.read_table(spark, root, "equity_daily")
 
 
-@register("scan_table", wf("select * from fx_daily where pair = 'USDGBP'"))
+@register("scan_table", wf("select * from fx_daily"))
 def q_scan_table(spark, d):
     root = scratch_path(spark, "scan")
     sink.write_parquet(fx.fx_daily(spark, d), root, "fx_daily")
     src.read_table(spark, root, "fx_daily").createOrReplaceTempView("riskframe_fx_daily")
-    return spark.sql("SELECT * FROM riskframe_fx_daily WHERE pair = 'USDGBP'")
+    return spark.sql("SELECT * FROM riskframe_fx_daily")
 
 
 @register("scan_query_history", wf(f"select {HISTORY_COLS} from query_history where {HISTORY_WINDOW_SQL}"))
@@ -162,7 +163,7 @@ def q_write_partitioned(spark, d):
                      .otherwise(F.col("symbol")))                           # null partition keys are dropped
     root = scratch_path(spark, "sink")
     sink.write_partitioned(e, root, "equity_daily", ["symbol"])
-    return src.read_table(spark, root, "equity_daily").select(*EQUITY_COLS)
+    return src.read_table(spark, root, "equity_daily", e.schema).select(*EQUITY_COLS)   # text keys stay text
 
 
 @register("append_rows", wf("select * from equity_daily"))
@@ -258,20 +259,21 @@ def q_row_count_reconcile(spark, d):
     return spark.createDataFrame([("equity_daily", n_eq), ("fx_daily", n_fx)], "table_name string, loaded_rows bigint")
 
 
-SNAP_SQL = wf(f"select {METRIC_SEL} from portfolio_metrics where \"date\" >= date '{AS_OF}' - 30", *o.METRIC_CHAIN)
+SNAP_AS_OF = "2001-08-15"    # the last metric day of the fixtures is 2001-08-01
+SNAP_SQL = wf(f"select {METRIC_SEL} from portfolio_metrics where \"date\" >= date '{SNAP_AS_OF}' - 30", *o.METRIC_CHAIN)
 
 
 @register("snapshot_export", SNAP_SQL)
 def q_snapshot_export(spark, d):
     root = scratch_path(spark, "snapshots")
-    sink.write_parquet(sv.snapshot(metrics_of(spark, d), AS_OF, 30), root, "portfolio_metrics")
+    sink.write_parquet(sv.snapshot(metrics_of(spark, d), SNAP_AS_OF, 30), root, "portfolio_metrics")
     return rnd(src.read_table(spark, root, "portfolio_metrics"), *METRIC_ROUND)
 
 
 @register("publish_snapshot", SNAP_SQL)
 def q_publish_snapshot(spark, d):
     uri = scratch_path(spark, "published") + "/snapshots/portfolio_metrics"
-    sv.publish(sv.snapshot(metrics_of(spark, d), AS_OF, 30), uri)
+    sv.publish(sv.snapshot(metrics_of(spark, d), SNAP_AS_OF, 30), uri)
     return rnd(spark.read.parquet(uri), *METRIC_ROUND)
 
 
@@ -373,18 +375,25 @@ def adv_cols():
 def q_ingest_available_now(spark, d):
     base = scratch_path(spark, "stream")
     docs = pl.equity_payloads(fx.equity_daily(spark, d))
+    store = Store(spark, scratch_path(spark, "store"))
     docs.filter(F.col("period") <= "1998-12").drop("period").write.parquet(f"{base}/in/part=1")
-    ingest.stream_ingest(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt")
-    docs.filter(F.col("period") > "1998-12").drop("period").write.parquet(f"{base}/in/part=2")
-    ingest.stream_ingest(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt")
-    ingest.stream_ingest(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt")     # nothing new: no batch
-    return ingest.read_ingested(spark, f"{base}/out").select(*EQUITY_COLS)
+    ingest.ingest(store, "equities", f"{base}/in", f"{base}/work")
+    docs.filter(F.col("period") > "1998-06").drop("period").write.parquet(f"{base}/in/part=2")   # overlaps the first
+    docs.filter(F.col("period") > "2000-06").drop("period").write.parquet(f"{base}/in/part=3")   # and this the second
+    ingest.ingest(store, "equities", f"{base}/in", f"{base}/work")
+    out = ingest.ingest(store, "equities", f"{base}/in", f"{base}/work")     # nothing new
+    return as_double(out).select(*EQUITY_COLS)
 
 
-@register("to_json_records")
+@register("to_json_records", wf(f"""select {METRIC_SEL} from (
+    select *, row_number() over (partition by portfolio_id order by "date" desc) as place from portfolio_metrics) z
+    where place <= 30""", *o.METRIC_CHAIN))
 def q_to_json_records(spark, d):
-    """V4 over the serving result of every portfolio (JSON text formats differ between engines: rows-only)."""
-    return sv.to_json(sv.nan_to_none(sv.latest(metrics_of(spark, d), None, 30)))
+    """V4 over the serving result of every portfolio. Number formats differ between
+    engines, so the records are parsed back and compared as typed values."""
+    m = sv.nan_to_none(sv.latest(metrics_of(spark, d), None, 30))
+    back = F.from_json("json", schemas.VIEW_PORTFOLIO_METRICS).alias("r")
+    return rnd(sv.to_json(m).select(back).select(*[F.col(f"r.{c}").alias(c) for c in met.METRIC_COLUMNS]), *METRIC_ROUND)
 
 
 # ------------------------------------------------------------------ 2.15 jobs
@@ -397,6 +406,25 @@ def _daily_inputs(spark, d, csv_path):
         start_date="1990-01-01", default_start=DEFAULT_START)
 
 
+@register("run_pipeline", wf(f"""select 'run-2' as run_id, date '{AS_OF}' as run_date, * from (
+    {FX_FRESH.format(a=AS_OF)} union all {EQ_FRESH.format(a=AS_OF)} union all {POS_CHECK}) z""", *o.POSITIONS))
+def q_run_pipeline(spark, d):
+    """The whole chain, twice, the first time with a rate-limited and a broken document logged and held back:
+    the checks logged by the second run."""
+    root = scratch_path(spark, "warehouse")
+    inputs = _daily_inputs(spark, d, _write_csv(spark, fx.portfolio_transactions(spark, d), "txn-csv", TXN_COLS))
+    inputs.query_history = history_of(spark, d)
+    eq = inputs.equity_payloads
+    broken = (F.when(F.col("symbol").endswith("7"), F.lit('{"Note": "API call frequency exceeded"}'))
+              .when(F.col("symbol").endswith("3"), F.lit('{"Time Series (Daily)": {"2001-08-01": "n/a"}}')).otherwise(F.col("payload")))
+    inputs.equity_payloads = eq.withColumn("payload", broken)
+    jobs.daily_run(spark, root, inputs, D1, run_id="run-1", on_reject="log")
+    inputs.equity_payloads = eq
+    jobs.daily_run(spark, root, inputs, AS_OF, snapshot_uri=f"{root}/snapshots/portfolio_metrics", run_id="run-2")
+    store = Store(spark, root)
+    return store.read("pipeline_monitoring").filter("run_id = 'run-2'").select(*dq.RESULT_COLUMNS)
+
+
 @register("daily_run", wf(f"select {ADV_SEL} from advanced_metrics", *o.ADVANCED_CHAIN))
 def q_daily_run(spark, d):
     root = scratch_path(spark, "warehouse")
@@ -408,7 +436,21 @@ def q_daily_run(spark, d):
     return rnd(out.select(*adv_cols()), *ADV_ROUND)
 
 
-@register("run_local_etl")
+def _report_sql(table, keys, columns):
+    return " union all ".join(f"""
+        select '{table}' as table_name, {i} as position, '{c}' as column_name, '{t}' as dtype,
+               cast(count(*) filter (where "{c}" is null) as bigint) as null_count, count(*) as row_count,
+               cast(count(*) - count(distinct ({keys})) as bigint) as dupe_pk_rows
+        from {table}_clean""" for i, (c, t) in enumerate(columns))
+
+
+LOCAL_SQL = wf(_report_sql("equity_daily", 'symbol, "date"', [(c, "double" if c == "volume" else t) for c, t in EQ_TYPES]) + " union all "
+               + _report_sql("fx_daily", 'pair, "date"', [("pair", "string"), ("date", "date"), ("rate", "double"), ("source", "string")]),
+               ("equity_daily_clean", f"select * from equity_daily where \"date\" >= date '{START}'"),
+               ("fx_daily_clean", f"select *, 'alphavantage' as source from fx_daily where pair = 'USDGBP' and \"date\" >= date '{START}'"))
+
+
+@register("run_local_etl", LOCAL_SQL)
 def q_run_local_etl(spark, d):
     out = scratch_path(spark, "processed")
     return jobs.local_etl(spark, pl.equity_payloads(fx.equity_daily(spark, d)), pl.fx_payloads(fx.fx_daily(spark, d)),

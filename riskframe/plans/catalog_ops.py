@@ -371,13 +371,10 @@ def _null_sql(cols, table):
     return " union all ".join(parts)
 
 
-@register("null_counts", wf(_null_sql(["symbol", "\"date\"", "company_name", "currency", "close", "daily_return",
-                                       "rolling_30d_volatility"], "fact_prices").replace("'\"date\"'", "'date'"),
-                            *o.PRICE_CHAIN))
+@register("null_counts", wf(_null_sql(["\"date\"" if c == "date" else c for c in prc.PRICE_COLUMNS], "fact_prices")
+                            .replace("'\"date\"'", "'date'"), *o.PRICE_CHAIN))
 def q_null_counts(spark, d):
-    p = prices_of(spark, d).select("symbol", "date", "company_name", "currency", "close", "daily_return",
-                                   "rolling_30d_volatility")
-    return dq.null_counts(p)
+    return dq.null_counts(prices_of(spark, d))
 
 
 @register("duplicate_key_rows", wf("""select cast(coalesce(sum(n - 1), 0) as bigint) as dupe_pk_rows

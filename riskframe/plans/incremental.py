@@ -77,15 +77,18 @@ def advance_watermark(store: Store, source: str, table: str, date_col: str = "da
     return set_watermark(store, source, newer)
 
 
-def load_feed(store: Store, feed: DataFrame, table: str, source: str, clean=None, date_col: str = "date") -> DataFrame:
+def load_feed(store: Store, feed: DataFrame, table: str, source: str, clean=None, date_col: str = "date",
+              advance: bool = True) -> DataFrame:
     """Rows newer than the watermark -> clean -> upsert into ``table`` ->
-    watermark = the max date loaded. An empty batch changes nothing."""
+    watermark = the max date loaded. An empty batch changes nothing. Without
+    ``advance`` the watermark stays, so that a later run reads the same dates again."""
     meta = store.read("load_metadata")
     batch = new_rows(feed, meta, source, date_col)
     if clean is not None:
         batch = clean(batch)
     out = store.upsert(table, batch, insert_defaults={"_ingested_at": F.current_timestamp()})
-    advance_watermark(store, source, table, date_col)
+    if advance:
+        advance_watermark(store, source, table, date_col)
     return out
 
 
@@ -94,11 +97,10 @@ def build_prices(store: Store, default_start: str = "2025-01-01", pair: str = "U
     """FACT_PRICES rows after the 'fact_prices' watermark, merged on
     (symbol, date); the watermark becomes the max date written (not today).
 
-    The equity scan is bounded: only month partitions of the last
-    ``lookback_days`` before the watermark are read, plus, only when some
-    symbol has too little recent history for its 30-row windows (decided by a
-    small job over the recent rows), that symbol's older rows. The result is
-    exactly the full-history recompute.
+    The equity scan is bounded: month partitions of the last ``lookback_days``
+    before the watermark, plus the older rows of symbols with too little recent
+    history for their windows (one plan; with no such symbol the join keeps
+    nothing). The result is exactly the full-history recompute.
     """
     meta = store.read("load_metadata")
     fx = as_double(store.read("fx_daily"))
@@ -112,10 +114,9 @@ def build_prices(store: Store, default_start: str = "2025-01-01", pair: str = "U
     else:
         base = as_double(store.read("equity_daily", where=(F.col("month") >= store.month_of(since))
                                     & (F.col("date") > since)))
-        need = prc.short_history_symbols(prc.join_fx(base, fx, pair), cut, 30)
-        if not need.isEmpty():
-            older = as_double(store.read("equity_daily", where=F.col("date") <= since))
-            base = base.unionByName(older.join(need, "symbol", "left_semi"))
+        need = prc.short_history_symbols(prc.join_fx(base, fx, pair), cut, prc.LONGEST_FRAME)
+        older = as_double(store.read("equity_daily", where=F.col("date") <= since))
+        base = base.unionByName(older.join(need, "symbol", "left_semi"))
     rows = prc.fact_prices(base, fx, dim, after=cut, pair=pair, history=history, default_start=default_start)
     out = store.upsert("fact_prices", rows)
     advance_watermark(store, "fact_prices", "fact_prices")
@@ -140,14 +141,31 @@ def build_positions(store: Store, as_of) -> DataFrame:
     return out
 
 
+def build_daily(store: Store) -> DataFrame:
+    """The holdings join aggregated to (portfolio, day), for the days after the
+    last stored one: prices and positions are read from that month on only."""
+    last = watermark_value(store.read("load_metadata"), "portfolio_daily")
+    later = (F.col("month") >= store.month_of(last)) & (F.col("date") > last)
+    rows = met.daily(met.holdings(as_double(store.read("fact_prices", where=later)),
+                                  as_double(store.read("portfolio_positions_daily", where=later))))
+    out = store.upsert("portfolio_daily", rows)
+    advance_watermark(store, "portfolio_daily", "portfolio_daily")
+    return out
+
+
 def build_metrics(store: Store) -> DataFrame:
-    """The metrics view over the stored facts."""
-    return met.portfolio_metrics(as_double(store.read("fact_prices")),
-                                 as_double(store.read("portfolio_positions_daily")))
+    """M3 stored: new days are aggregated once, the windows run over the small
+    daily table, and the days after the last stored one are merged."""
+    daily = build_daily(store)
+    last = watermark_value(store.read("load_metadata"), "portfolio_metrics")
+    out = store.upsert("fact_portfolio_metrics", met.over_days(daily).filter(F.col("date") > last))
+    advance_watermark(store, "portfolio_metrics", "fact_portfolio_metrics")
+    return out
 
 
 def build_advanced(store: Store, benchmark: str = "SPY") -> DataFrame:
-    """I8: full recompute of the advanced metrics, merged on (date, portfolio_id)."""
+    """I8: the advanced metrics of all stored metric days (small: one row per
+    portfolio and day), merged on (date, portfolio_id). Builds the metrics first."""
     rows = adv.advanced_metrics(build_metrics(store), as_double(store.read("fact_benchmark")), benchmark)
     return store.upsert("fact_portfolio_adv_metrics", rows)
 

@@ -41,9 +41,10 @@ class Store:
         return F.date_format(date_lit(d), "yyyy-MM")
 
     def buckets(self, name: str) -> int:
-        """Hash buckets of a key-bucketed table: ``spark.riskframe.buckets.<table>``
-        from the session (size it to roughly table bytes / 1 GB), else the table's
-        default. Fixed once the table holds data: the bucket is part of the layout."""
+        """Hash buckets for a key-bucketed table that is yet to be created:
+        ``spark.riskframe.buckets.<table>`` from the session (size it to roughly
+        table bytes / 1 GB), else the table's default. An existing table keeps the
+        count stored with it."""
         return int(self.spark.conf.get(f"spark.riskframe.buckets.{name}", str(schemas.TABLES[name].buckets)))
 
     def upsert(self, name: str, updates: DataFrame, update_cols=None, insert_defaults=None) -> DataFrame:

@@ -11,15 +11,16 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DateType, DecimalType, DoubleType, LongType, StringType,
-                               StructField, StructType, TimestampNTZType, TimestampType)
+                               StructField, StructType, TimestampNTZType)
 
-S, D, DBL, L, TS = StringType(), DateType(), DoubleType(), LongType(), TimestampType()
+S, D, DBL, L, TS = StringType(), DateType(), DoubleType(), LongType(), TimestampNTZType()
 
 
 def _st(*fields):
     return StructType([StructField(n, t, nullable) for n, t, nullable in fields])
 
 
+# Table and column names and types of the warehouse DDL.
 EQUITY_DAILY = _st(("symbol", S, False), ("date", D, False), ("open", DecimalType(18, 6), True),
                    ("high", DecimalType(18, 6), True), ("low", DecimalType(18, 6), True),
                    ("close", DecimalType(18, 6), True), ("volume", L, True), ("source", S, True),
@@ -51,6 +52,10 @@ DIM_SYMBOL = _st(("symbol", S, False), ("company_name", S, True), ("currency", S
 VIEW_PORTFOLIO_METRICS = _st(("portfolio_id", S, True), ("date", D, True), ("total_value_gbp", DBL, True),
                              ("weighted_daily_return", DBL, True), ("rolling_30d_volatility", DBL, True),
                              ("daily_var_95", DBL, True))
+PORTFOLIO_DAILY = _st(("portfolio_id", S, False), ("date", D, False), ("total_value_gbp", DBL, True),
+                      ("weighted_daily_return", DBL, True))
+PIPELINE_ALERTS = _st(("run_id", S, True), ("run_date", D, True), ("message", S, True), ("_logged_at", TS, True))
+PIPELINE_PROFILE = _st(("run_id", S, True), ("run_date", D, True), ("report", S, True), ("line", S, True))
 QUERY_HISTORY = _st(("query_id", L, True), ("user_name", S, True), ("warehouse_name", S, True),
                     ("database_name", S, True), ("schema_name", S, True), ("query_type", S, True),
                     ("start_time", TimestampNTZType(), True), ("total_elapsed_time", DBL, True), ("rows_produced", L, True),
@@ -82,6 +87,11 @@ TABLES = {t.name: t for t in [
     Table("fact_benchmark", FACT_BENCHMARK, ("date", "symbol"), ("month",)),
     Table("fact_portfolio_adv_metrics", FACT_PORTFOLIO_ADV_METRICS, ("date", "portfolio_id"), ("month",)),
     Table("dim_symbol", DIM_SYMBOL, ("symbol",)),
+    # the holdings join aggregated to a day (the small table that all windows read), and the metrics view stored
+    Table("portfolio_daily", PORTFOLIO_DAILY, ("portfolio_id", "date"), ("month",)),
+    Table("fact_portfolio_metrics", VIEW_PORTFOLIO_METRICS, ("portfolio_id", "date"), ("month",)),
+    Table("pipeline_alerts", PIPELINE_ALERTS, ()),
+    Table("pipeline_profile", PIPELINE_PROFILE, ()),
 ]}
 
 

@@ -10,14 +10,18 @@ move between partitions and the touched set is exactly the updates'.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from ..sources.files import table_exists
+from ..session import scratch_path
+from ..sources.files import read_text, table_exists, write_text
 
+LAYOUT = "_layout.json"   # file inside a table (hidden from scans) that records how its rows are dealt
 BUCKET = "_bucket"
-DEFAULT_BUCKETS = 16   # size to the table on a cluster: about table bytes / 1 GB
+DEFAULT_BUCKETS = 16   # of a new table; size to about table bytes / 1 GB
 
 
 def write_parquet(df: DataFrame, root: str, name: str, mode: str = "overwrite") -> str:
@@ -58,25 +62,30 @@ def upsert(target: DataFrame, updates: DataFrame, keys, update_cols=None, insert
     carry) take the update's value, other columns keep the target's.
     Unmatched updates are inserted: columns the updates lack get
     ``insert_defaults[c]`` (a Column) or null. Target rows without an update
-    stay as they are; nothing is deleted. Keys match with ``=`` as in MERGE
-    (a null key never matches). A key repeated in ``updates`` makes the job
-    fail (one target row, two sources) when ``check_unique``. The duplicate
-    check is a window on the update keys whose hash partitioning the merge
-    join reuses: one exchange per side.
+    stay as they are; nothing is deleted. A null key in ``updates`` makes the
+    job fail, and so does a repeated one (one target row, two sources) when
+    ``check_unique``. Copies of a key are counted by an aggregate, combined
+    map-side, whose hash partitioning the merge join reuses: one exchange per
+    side, and no task that gathers the copies of a hot key.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     insert_defaults = insert_defaults or {}
     tcols = target.columns
     ucols = [c for c in updates.columns if c in tcols]
     update_cols = [c for c in (update_cols if update_cols is not None else ucols) if c not in keys]
-    u = updates.select(*[F.col(c).alias(f"_u_{c}") for c in ucols], F.lit(True).alias("_u"))
+    u = updates
     if check_unique:
-        from pyspark.sql import Window
-        u = u.withColumn("_u_n", F.count(F.lit(1)).over(Window.partitionBy(*[f"_u_{k}" for k in keys])))
+        rest = [c for c in ucols if c not in keys]
+        u = u.groupBy(*keys).agg(F.count(F.lit(1)).alias("_u_n"), F.first(F.struct(F.lit(True).alias("_"), *rest)).alias("_u_row"))
+        u = u.select(*keys, *[F.col("_u_row").getField(c).alias(c) for c in rest], "_u_n")
+    present = {k: F.when(F.col(k).isNull(), F.raise_error(F.lit(f"upsert: null key {k} in the updates"))).otherwise(F.col(k))
+               for k in keys}
+    u = u.select(*[present.get(c, F.col(c)).alias(f"_u_{c}") for c in ucols], F.lit(True).alias("_u"),
+                 *(["_u_n"] if check_unique else []))
     t = target.select(*tcols, F.lit(True).alias("_t"))
     cond = None
     for k in keys:
-        c = t[k] == u[f"_u_{k}"]      # MERGE ON t.k = s.k: a null key never matches
+        c = t[k] == u[f"_u_{k}"]
         cond = c if cond is None else cond & c
     j = t.join(u, cond, "full_outer")
     matched_u, has_t = F.col("_u").isNotNull(), F.col("_t").isNotNull()
@@ -111,11 +120,13 @@ def merge_plan(spark: SparkSession, path: str, updates: DataFrame, keys, schema:
                update_cols=None, insert_defaults: dict | None = None,
                buckets: int = DEFAULT_BUCKETS) -> tuple[DataFrame, list]:
     """The merged rows of the touched partitions (and the partition columns) that
-    ``upsert_table`` writes. The target is restricted to the touched partitions
-    by a semi-join on the partition columns, which Spark plans as dynamic
-    partition pruning: only those partitions are listed and read."""
+    ``upsert_table`` writes. The updates are written once to the shared folder,
+    so their plan runs once; their distinct partition values (one row per
+    partition touched) then filter the target as literals: only those
+    partitions are listed and read, whatever the updates' plan or size."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     pcols = list(partition_by) or [BUCKET]
+    buckets = settled_layout(spark, path, pcols, buckets)
     for c in pcols:
         if c == BUCKET:
             updates = updates.withColumn(BUCKET, bucket_of(keys, buckets))
@@ -123,15 +134,43 @@ def merge_plan(spark: SparkSession, path: str, updates: DataFrame, keys, schema:
             updates = updates.withColumn(c, DERIVED[c]())
         elif c not in keys:
             raise ValueError(f"partition column {c} must be a key or derived from one")
-    full = stored_schema(schema, pcols)
-    if table_exists(spark, path):
-        current = spark.read.schema(full).parquet(path)
-        touched = updates.select(*pcols).distinct()
-        target = current.join(touched, pcols, "left_semi")
-    else:
-        target = spark.createDataFrame([], full)
-    merged = upsert(target, updates, keys, update_cols, insert_defaults)
-    return merged, pcols
+    stage = scratch_path(spark, "merge")
+    updates.write.parquet(stage)
+    staged = spark.read.schema(updates.schema).parquet(stage)
+    touched = [tuple(r) for r in staged.select(*pcols).distinct().collect()]
+    target = spark.read.schema(stored_schema(schema, pcols)).parquet(path).filter(_in_partitions(pcols, touched))
+    return upsert(target, staged, keys, update_cols, insert_defaults), pcols
+
+
+def _in_partitions(pcols: list, values: list[tuple]) -> Column:
+    """The partitions with these values; null-safe, as literals."""
+    if len(pcols) == 1:
+        some = [v for v, in values if v is not None]
+        cond = F.col(pcols[0]).isin(some) if some else F.lit(False)
+        return cond | F.col(pcols[0]).isNull() if len(some) < len(values) else cond
+    cond = F.lit(False)
+    for row in values:
+        one = F.lit(True)
+        for c, v in zip(pcols, row):
+            one = one & F.col(c).eqNullSafe(F.lit(v))
+        cond = cond | one
+    return cond
+
+
+def settled_layout(spark: SparkSession, path: str, pcols: list, buckets: int) -> int:
+    """The bucket count of the table at ``path``: the stored one, or ``buckets`` stored now for a new table.
+
+    How rows are dealt is part of the table: other partition columns than the
+    stored ones are an error, and a setting cannot change the bucket count.
+    """
+    place = f"{path}/{LAYOUT}"
+    if table_exists(spark, place):
+        known = json.loads(read_text(spark, place))
+        if known["partition_by"] != list(pcols):
+            raise ValueError(f"{path} is partitioned by {known['partition_by']}, not {list(pcols)}")
+        return known["buckets"]
+    write_text(spark, place, json.dumps({"partition_by": list(pcols), "buckets": int(buckets)}))
+    return int(buckets)
 
 
 def upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys, schema: StructType,

@@ -21,21 +21,47 @@ def read_table(spark: SparkSession, root: str, name: str, schema: StructType | N
     return r.parquet(f"{root}/{name}")
 
 
+def _hadoop(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), p
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a dataset folder exists (resolved with a declared schema: no footer reads)."""
+    """Whether a dataset folder exists (asked of its file system; nothing is read)."""
+    fs, p = _hadoop(spark, path)
+    return fs.exists(p)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file, from its file system."""
+    fs, p = _hadoop(spark, path)
+    stream = fs.open(p)
     try:
-        spark.read.schema("_probe int").parquet(path)
-        return True
-    except AnalysisException as e:
-        if _missing(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return False
-        raise
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _hadoop(spark, path)
+    stream = fs.create(p, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder, sorted; none when it does not exist."""
+    fs, p = _hadoop(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
 def read_transactions_csv(spark: SparkSession, path: str) -> DataFrame:
     """Transactions CSV with header. Missing file -> FileNotFoundError;
     any of the six required columns missing -> ValueError. Columns are matched
-    by header name (any order), then cast; malformed values fail the job (ANSI)."""
+    by header name (any order), then cast from text to their declared types;
+    malformed values fail the job (ANSI)."""
     try:
         header = spark.read.option("header", True).csv(path).columns
     except AnalysisException as e:
@@ -48,7 +74,7 @@ def read_transactions_csv(spark: SparkSession, path: str) -> DataFrame:
     text = StructType([StructField(c, StringType()) for c in header])
     raw = spark.read.option("header", True).option("enforceSchema", False).schema(text).csv(path)
     return raw.select(F.col("transaction_id"), F.col("portfolio_id"), F.col("symbol"),
-                      F.col("quantity_delta").cast("double").alias("quantity_delta"),
+                      F.col("quantity_delta").cast("decimal(18,6)").alias("quantity_delta"),
                       F.to_date("transaction_date").alias("transaction_date"), F.col("transaction_type"))
 
 

@@ -1,35 +1,80 @@
-"""Payload ingestion as a file stream with ``trigger(availableNow=True)``.
+"""Payload files -> RAW tables, new files found by a stream with ``trigger(availableNow=True)``.
 
-New payload files are picked up once each (the checkpoint records them);
-parsed rows are appended to a Parquet sink by the exactly-once file sink
-protocol. Deduplication to one row per (symbol, date) happens downstream
-(``clean_equities`` / upsert), so a replayed file cannot create duplicates in
-the tables built from the sink.
+The stream only answers "which files are new": it copies their documents to the
+staging table, in a partition of this run (exactly once, by checkpoint and file sink). The
+staged run is then loaded like any batch: rejects first, rows after the feed's
+watermark, first arrival per key, merge by key, watermark. A run that ended
+before its load is loaded by the next one, so overlapping or replayed files
+neither duplicate nor lose rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType, TimestampType
+
+from ..operators import clean as cl
+from ..plans import incremental as inc
+from ..plans import jobs
+from ..plans.store import Store
+from ..sources import payloads as pl
+from ..sources.files import folder_names, write_text
+
+
+@dataclass(frozen=True)
+class Feed:
+    key: str                      # payload column that names the entity
+    series: str
+    table: str
+    parse: Callable[[DataFrame, str], DataFrame]
+    clean: Callable[[DataFrame], DataFrame]
 
-from ..sources.payloads import EQUITY_SERIES, parse_equity_payload, payload_accepted
 
-PAYLOAD_FILE_SCHEMA = StructType([StructField("symbol", StringType()), StructField("payload", StringType())])
+FEEDS = {
+    "equities": Feed("symbol", pl.EQUITY_SERIES, "equity_daily", pl.parse_equity_payload, cl.clean_equities),
+    "fx": Feed("pair", pl.FX_SERIES, "fx_daily", pl.parse_fx_payload, cl.clean_fx),
+    "spy": Feed("symbol", pl.EQUITY_SERIES, "fact_benchmark", pl.parse_benchmark_payload,
+                lambda d: cl.clean_equities(d, benchmark=True)),
+}
 
 
-def stream_ingest(spark: SparkSession, source_path: str, sink_path: str, checkpoint: str,
-                  start_date: str = "0001-01-01", fmt: str = "parquet",
-                  max_files_per_trigger: int | None = None) -> None:
-    """Parse every payload file not yet processed, append the rows, stop."""
-    reader = spark.readStream.schema(PAYLOAD_FILE_SCHEMA).format(fmt)
+def _schema(feed: Feed) -> StructType:
+    return StructType([StructField(feed.key, StringType()), StructField("payload", StringType())])
+
+
+def stage_new_files(spark: SparkSession, feed: Feed, source_path: str, stage: str, run: str, checkpoint: str,
+                    fmt: str = "parquet", max_files_per_trigger: int | None = None) -> None:
+    """Copy the documents of every file not seen before, with the file's time as arrival, then stop."""
+    reader = spark.readStream.schema(_schema(feed)).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    docs = reader.load(source_path)
-    rows = parse_equity_payload(payload_accepted(docs, EQUITY_SERIES), start_date)
-    q = (rows.writeStream.format("parquet").option("path", sink_path).option("checkpointLocation", checkpoint)
-         .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
+    docs = reader.load(source_path).select(feed.key, "payload", F.col("_metadata.file_modification_time").alias(cl.ARRIVED),
+                                           F.lit(run).alias("run"))
+    (docs.writeStream.format("parquet").option("path", stage).option("checkpointLocation", checkpoint).partitionBy("run")
+     .outputMode("append").trigger(availableNow=True).start().awaitTermination())
+
 
+def ingest(store: Store, name: str, source_path: str, work: str, start_date: str = "0001-01-01",
+           fmt: str = "parquet", max_files_per_trigger: int | None = None) -> DataFrame:
+    """Load the new payload files of a feed (``FEEDS``) into its RAW table; returns the table.
 
-def read_ingested(spark: SparkSession, sink_path: str) -> DataFrame:
-    return spark.read.parquet(sink_path)
+    ``work`` holds the checkpoint and the staged runs. A rejected document
+    fails the call before its run is loaded; the run stays staged.
+    """
+    spark, feed, stage = store.spark, FEEDS[name], f"{work}/staged"
+    runs = lambda: [n.partition("=")[2] for n in folder_names(spark, stage) if n.startswith("run=")]
+    stage_new_files(spark, feed, source_path, stage, f"{len(runs()):06d}", f"{work}/checkpoint", fmt, max_files_per_trigger)
+    loaded = set(folder_names(spark, f"{work}/loaded"))
+    schema = StructType([*_schema(feed).fields, StructField(cl.ARRIVED, TimestampType()), StructField("run", StringType())])
+    for staged in runs():
+        if staged in loaded:
+            continue
+        docs = spark.read.schema(schema).parquet(stage).filter(F.col("run") == staged).drop("run")
+        jobs.fail_on_rejects(pl.payload_rejects(docs, feed.series, feed.key))
+        inc.load_feed(store, feed.parse(docs, start_date), feed.table, name, clean=feed.clean)
+        write_text(spark, f"{work}/loaded/{staged}", "")
+    return store.read(feed.table)

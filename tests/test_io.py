@@ -157,33 +157,155 @@ def test_ensure_tables_never_replaces(spark):
     assert store.read("fact_prices").schema["close_gbp"].dataType.simpleString() == "decimal(34,12)"
 
 
-def test_stream_ingest_processes_each_file_once(spark):
+EQ_DOC = '{"Time Series (Daily)": {%s}}'
+
+
+def eq_doc(**closes):
+    return EQ_DOC % ", ".join(f'"{d[1:].replace("_", "-")}": {{"4. close": "{c}", "6. volume": "1.0"}}' for d, c in closes.items())
+
+
+def test_stream_ingest_merges_overlapping_files_once(spark):
+    from riskframe.streaming import ingest
+    base = scratch_path(spark, "t-stream")
+    store = Store(spark, f"{base}/store")
+
+    def put(n, *docs):
+        spark.createDataFrame(list(docs), "symbol string, payload string").coalesce(1).write.parquet(f"{base}/in/b={n}")
+
+    put(1, ("A", eq_doc(d2025_01_02="1.5")))
+    ingest.ingest(store, "equities", f"{base}/in", f"{base}/work")
+    put(2, ("A", eq_doc(d2025_01_02="1.5", d2025_01_03="2.5")))
+    put(3, ("A", eq_doc(d2025_01_03="9.9", d2025_01_06="3.5")))
+    for _ in range(2):
+        out = ingest.ingest(store, "equities", f"{base}/in", f"{base}/work")
+    got = {(r.date, float(r.close)) for r in out.collect()}
+    assert out.count() == 3 and (D("2025-01-02"), 1.5) in got and (D("2025-01-06"), 3.5) in got
+    fx = '{"Time Series FX (Daily)": {"2025-01-02": {"4. close": "0.8"}}}'
+    spark.createDataFrame([("USDGBP", fx)], "pair string, payload string").write.parquet(f"{base}/fx/b=1")
+    assert ingest.ingest(store, "fx", f"{base}/fx", f"{base}/work-fx").count() == 1
+
+
+def test_stream_ingest_fails_on_a_reject_and_loads_the_run_later(spark):
+    from riskframe.plans.jobs import RejectedPayloads
     from riskframe.streaming import ingest
     base = scratch_path(spark, "t-stream")
-    doc = '{"Time Series (Daily)": {"%s": {"4. close": "%s", "6. volume": "1"}}}'
-    spark.createDataFrame([("A", doc % ("2025-01-02", "1.5"))], "symbol string, payload string") \
-        .write.parquet(f"{base}/in/b=1")
-    ingest.stream_ingest(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt")
-    spark.createDataFrame([("A", doc % ("2025-01-03", "2.5")), ("B", '{"Note": "x"}')],
-                          "symbol string, payload string").write.parquet(f"{base}/in/b=2")
-    ingest.stream_ingest(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt")
-    ingest.stream_ingest(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt")
-    got = sorted((r.symbol, r.date, r.close) for r in ingest.read_ingested(spark, f"{base}/out").collect())
-    assert got == [("A", D("2025-01-02"), 1.5), ("A", D("2025-01-03"), 2.5)]
-
-
-def test_bucket_count_comes_from_session_conf(spark):
+    store = Store(spark, f"{base}/store")
+    spark.createDataFrame([("A", eq_doc(d2025_01_02="1.5")), ("B", '{"Note": "x"}')],
+                          "symbol string, payload string").write.parquet(f"{base}/in/b=1")
+    for _ in range(2):       # the run stays staged and unloaded
+        with pytest.raises(RejectedPayloads):
+            ingest.ingest(store, "equities", f"{base}/in", f"{base}/work")
+    assert inc.watermark(store.read("load_metadata"), "equities").collect()[0][0] is None
+
+
+TXN = ("transaction_id string, portfolio_id string, symbol string, quantity_delta double, "
+       "transaction_date date, transaction_type string")
+
+
+def test_bucket_count_is_stored_with_the_table(spark):
     store = Store(spark, scratch_path(spark, "t-buckets"))
-    assert store.buckets("portfolio_transactions") == 16
-    spark.conf.set("spark.riskframe.buckets.portfolio_transactions", "4")
+    t = spark.createDataFrame([(str(i), "P1", "A", 1.0, D("2025-01-02"), "BUY") for i in range(40)], TXN)
+    inc.load_transactions(store, t)
+    spark.conf.set("spark.riskframe.buckets.portfolio_transactions", "7")
     try:
-        assert store.buckets("portfolio_transactions") == 4
-        t = spark.createDataFrame([(str(i), "P1", "A", 1.0, D("2025-01-02"), "BUY") for i in range(40)],
-                                  "transaction_id string, portfolio_id string, symbol string, quantity_delta double, "
-                                  "transaction_date date, transaction_type string")
-        inc.load_transactions(store, t)
-        stored = spark.read.parquet(store.path("portfolio_transactions")).select("_bucket").distinct().collect()
-        assert {r._bucket for r in stored} <= {0, 1, 2, 3}
+        inc.load_transactions(store, t)      # the setting of an existing table changes nothing
         assert store.read("portfolio_transactions").count() == 40
+        new = Store(spark, scratch_path(spark, "t-buckets"))
+        inc.load_transactions(new, t)
+        stored = spark.read.parquet(new.path("portfolio_transactions")).select("_bucket").distinct().collect()
+        assert {r._bucket for r in stored} <= set(range(7)) and new.read("portfolio_transactions").count() == 40
     finally:
         spark.conf.unset("spark.riskframe.buckets.portfolio_transactions")
+
+
+def test_partition_columns_of_a_table_cannot_change(spark):
+    path = scratch_path(spark, "t-layout")
+    a = spark.createDataFrame([("S", D("2025-01-02"), 1.0)], "symbol string, date date, close double")
+    sink.upsert_table(spark, path, a, ["symbol", "date"], a.schema, partition_by=("month",))
+    with pytest.raises(ValueError):
+        sink.upsert_table(spark, path, a, ["symbol", "date"], a.schema)
+
+
+def test_upsert_refuses_null_keys_and_keeps_null_partitions(spark):
+    path = scratch_path(spark, "t-null")
+    schema = "symbol string, date date, close double"
+    a = spark.createDataFrame([("S", D("2025-01-02"), 1.0)], schema)
+    sink.upsert_table(spark, path, a, ["symbol", "date"], a.schema, partition_by=("month",))
+    spark.createDataFrame([("T", None, 2.0)], schema).write.parquet(f"{path}/month=__HIVE_DEFAULT_PARTITION__")
+    for bad in ([("U", None, 3.0)], [("U", None, 3.0), ("U", None, 4.0)]):
+        with pytest.raises(Exception, match="null key date"):
+            sink.upsert_table(spark, path, spark.createDataFrame(bad, schema), ["symbol", "date"], a.schema, partition_by=("month",))
+    out = sink.upsert_table(spark, path, a, ["symbol", "date"], a.schema, partition_by=("month",))
+    assert {(r.symbol, r.close) for r in out.collect()} == {("S", 1.0), ("T", 2.0)}
+
+
+def test_text_partition_keys_stay_text(spark):
+    df = spark.createDataFrame([("0700", 1), ("0005", 2)], "symbol string, v int")
+    root = scratch_path(spark, "t-text")
+    sink.write_partitioned(df, root, "t", ["symbol"])
+    back = src.read_table(spark, root, "t", df.schema)
+    assert {r.symbol for r in back.collect()} == {"0700", "0005"}
+
+
+def test_csv_quantity_keeps_its_digits(spark, tmp_path):
+    p = tmp_path / "t.csv"
+    p.write_text("transaction_id,portfolio_id,symbol,quantity_delta,transaction_date,transaction_type\n"
+                 "1,P1,A,123456789012.345678,2025-01-02,BUY\n")
+    assert str(src.read_transactions_csv(spark, str(p)).first().quantity_delta) == "123456789012.345678"
+
+
+def test_malformed_days_and_numbers(spark):
+    one_bad = '{"Time Series (Daily)": {"2025-01-02": {"4. close": "1", "6. volume": "100.0"}, "2025-01-03": "oops"}}'
+    docs = spark.createDataFrame([("A", one_bad), ("B", '{"Time Series (Daily)": []}'), ("C", eq_doc(dnoday="1")),
+                                  ("D", eq_doc(d2025_01_02="2"))], "symbol string, payload string")
+    assert {r.symbol: r.reason for r in pl.payload_rejects(docs).collect()} == {
+        "A": "bad_day", "B": "bad_series", "C": "bad_day"}
+    rows = pl.parse_equity_payload(docs.filter("symbol in ('A', 'D')"), "2025-01-01").filter("close is not null").collect()
+    assert {(r.symbol, r.volume) for r in rows} == {("A", 100), ("D", 1)}
+
+
+def _inputs(spark, docs, txns=None):
+    from riskframe.plans.jobs import DailyInputs
+    fx = '{"Time Series FX (Daily)": {"2025-01-02": {"4. close": "0.5"}, "2025-01-03": {"4. close": "0.5"}}}'
+    spy = eq_doc(d2025_01_02="400", d2025_01_03="404")
+    return DailyInputs(equity_payloads=spark.createDataFrame(docs, "symbol string, payload string"),
+                       fx_payloads=spark.createDataFrame([("USDGBP", fx)], "pair string, payload string"),
+                       benchmark_payloads=spark.createDataFrame([("SPY", spy)], "symbol string, payload string"),
+                       transactions_csv=txns)
+
+
+def test_rejected_payloads_lose_nothing(spark, tmp_path):
+    """Day 1: B is rate-limited; day 2: both good with full history. All four rows are there afterwards."""
+    from riskframe.plans import jobs
+    root = scratch_path(spark, "t-run")
+    day1 = [("A", eq_doc(d2025_01_02="1")), ("B", '{"Note": "slow down"}')]
+    day2 = [(s, eq_doc(d2025_01_02="1", d2025_01_03="2")) for s in "AB"]
+    with pytest.raises(jobs.RejectedPayloads, match="B: rate_limited"):
+        jobs.daily_run(spark, root, _inputs(spark, day1), "2025-01-02")
+    store = Store(spark, root)
+    assert store.read("equity_daily").count() == 0 and store.read("load_metadata").count() == 0
+    txns = tmp_path / "t.csv"
+    txns.write_text("transaction_id,portfolio_id,symbol,quantity_delta,transaction_date,transaction_type\n"
+                    "1,P1,A,2,2025-01-01,BUY\n2,P1,B,3,2025-01-03,BUY\n")
+    jobs.daily_run(spark, root, _inputs(spark, day1, str(txns)), "2025-01-02", on_reject="log", run_id="r1")
+    logged = store.read("pipeline_monitoring").filter("task_name like 'PAYLOAD%'").collect()
+    assert [(r.task_name, r.error_message) for r in logged] == [("PAYLOAD_REJECT_EQUITIES", "B: rate_limited")]
+    jobs.daily_run(spark, root, _inputs(spark, day2, str(txns)), "2025-01-03", snapshot_uri=f"{root}/snap", run_id="r2")
+    assert store.read("equity_daily").count() == 4
+    m = {(r.portfolio_id, r.date): r.total_value_gbp for r in store.read("fact_portfolio_metrics").collect()}
+    assert m == {("P1", D("2025-01-02")): 1.0, ("P1", D("2025-01-03")): 5.0}
+    assert spark.read.parquet(f"{root}/snap").count() == 2
+
+
+def test_raise_on_fail_fails_the_job_and_any_action(spark):
+    from riskframe.plans import jobs
+    root = scratch_path(spark, "t-fail")
+    with pytest.raises(Exception, match="No positions found"):
+        jobs.daily_run(spark, root, _inputs(spark, [("A", eq_doc(d2025_01_02="1"))]), "2025-01-02", raise_on_fail=True)
+    store = Store(spark, root)
+    assert "No positions found in portfolio_positions_daily!" in {r.message for r in store.read("pipeline_alerts").collect()}
+    res = store.read("pipeline_monitoring")
+    with pytest.raises(Exception):
+        dq.raise_on_fail(res).count()
+    with pytest.raises(Exception, match="NOT NULL column k"):
+        dq.not_null(spark.createDataFrame([(None, 1)], "k string, v int"), ["k"]).count()
