@@ -38,8 +38,8 @@ from riskframe.llm.common import stored, whole_text, width
 from riskframe.llm.components import components
 
 SHINGLE = 5
-SAMPLES, BANDS, ROWS = 128, 16, 4
-AGREE = 0.68  # of the samples, for a pair to be verified: 3.4 standard errors below 0.8
+SAMPLES, BANDS, ROWS = 256, 16, 4
+AGREE = 0.72  # of the samples, for a pair to be verified: 3.2 standard errors below 0.8
 
 # Fixed tables of random variates; a shingle picks its own for each sample by a hash.
 RNG = np.random.default_rng(20240229)
