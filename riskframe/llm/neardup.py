@@ -96,12 +96,12 @@ def draw(keys: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """``SAMPLES`` consistent samples (32-bit identities) of a weighted set given in order of its keys."""
     log_w = np.log(weights).astype(np.float32)[:, None]
     best, sample = np.full(SAMPLES, np.inf, np.float32), np.zeros(SAMPLES, np.uint32)
-    for lo in range(0, len(keys), 4096):
-        k = keys[lo:lo + 4096]
+    for lo in range(0, len(keys), 1024):
+        k = keys[lo:lo + 1024]
         with np.errstate(over="ignore"):
             slot = ((k[:, None] * PICK) >> np.uint64(48)).astype(np.int64)
         r = R.take(slot)
-        t = np.floor(log_w[lo:lo + 4096] / r + BETA.take(slot))
+        t = np.floor(log_w[lo:lo + 1024] / r + BETA.take(slot))
         log_a = LOG_C.take(slot) - r * (t - BETA.take(slot) + 1)
         row = log_a.argmin(0)
         value = log_a[row, np.arange(SAMPLES)]
@@ -184,7 +184,8 @@ def bucketed(texts: DataFrame, bucket_part: int) -> DataFrame:
 def close_pairs(buckets: DataFrame, forest: bool) -> DataFrame:
     """a < b, distinct: pairs of a bucket part whose samples agree enough, or a spanning forest of them.
 
-    Without ``forest``, only pairs of different components (column ``c``).
+    Without ``forest``, only pairs of different components (column ``c``). A task sends one row for each text and
+    bucket part, with its partners as an array; the arrays of a text (16 bands, at most a part each) are united.
     """
 
     def pairs_of(ids: np.ndarray, samples: list[bytes], c: np.ndarray):
@@ -234,14 +235,21 @@ def close_pairs(buckets: DataFrame, forest: bool) -> DataFrame:
         for lo, hi in zip(begin, end):
             if hi - lo > 1:
                 out += pairs_of(ids[lo:hi], samples[lo:hi], c[lo:hi])
-        columns = zip(*out) if out else ([], [])
-        return pa.RecordBatch.from_arrays([pa.array(np.array(x, np.int64)) for x in columns], names=["a", "b"]), rest
+        return lists(np.array(out, np.int64).reshape(-1, 2)), rest
+
+    def lists(pairs: np.ndarray) -> pa.RecordBatch:
+        pairs = np.unique(pairs, axis=0)
+        a, first = np.unique(pairs[:, 0], return_index=True)
+        partners = pa.ListArray.from_arrays(pa.array(np.append(first, len(pairs)), pa.int32()), pa.array(pairs[:, 1]))
+        return pa.RecordBatch.from_arrays([pa.array(a), partners], names=["a", "partners"])
 
     if forest:
         buckets = buckets.withColumn("c", F.lit(0).cast("long"))
     place = ["band", "key", "deal"]
     return (buckets.select(*place, "id", "c", "sample").repartition(*place).sortWithinPartitions(*place, "id")
-            .mapInArrow(run, "a long, b long").distinct())
+            .mapInArrow(run, "a long, partners array<long>")
+            .groupBy("a").agg(F.array_distinct(F.flatten(F.collect_list("partners"))).alias("partners"))
+            .select("a", F.explode("partners").alias("b")))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
