@@ -112,7 +112,7 @@ def fit_languages(docs: DataFrame, train: Column, lang_col: str = "lang", id_col
                   per_lang: int = 1500) -> Languages:
     """Machines fitted to at most ``per_lang`` texts of each language for which ``train`` holds."""
     sample = examples(docs.select(id_col, text_col), docs.select(id_col, lang_col), lang_col, train, per_lang, id_col, text_col)
-    sample = sample[[any(map(str.isalpha, t)) for t in sample["text"]]]
+    sample = sample[sample["text"].map(lambda t: any(map(str.isalpha, t))).astype(bool)]
     if not len(sample):
         return Languages(Duel([], []), {})
     x = np.array([vector(t) for t in sample["text"]], np.float32)
