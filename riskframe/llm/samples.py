@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Longer texts are scored whole like any other, but never drawn as examples.
@@ -16,20 +16,21 @@ GROUP_CHARS = 6_000_000
 
 def examples(docs: DataFrame, labels: DataFrame, label_col: str, train: Column, per_class: int,
              id_col: str = "doc_id", text_col: str = "text") -> pd.DataFrame:
-    """text, label: at most ``per_class`` texts of each label value, by smallest hash of the id.
+    """text, label: at most ``per_class`` texts of each label value, those of smallest hash of the id.
 
     ``labels`` has ``id_col`` and ``label_col`` (an id labelled twice takes the larger label).
     """
     one = (labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & train)
            .groupBy(id_col).agg(F.max(label_col).alias("label")))
     fit = docs.filter(F.length(text_col).between(1, MAX_EXAMPLE_CHARS))
-    rank = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    # over-drawn twice, for labels without a usable text; the draw is two numbers a row
-    drawn = (one.select(F.col(id_col).alias("id"), "label").withColumn("rank", F.row_number().over(rank))
-             .filter(F.col("rank") <= 2 * per_class))
+    # hashes below a threshold for each label value (one row each): about twice as many as needed, as some have no usable text
+    share = one.groupBy("label").agg((F.lit(2.0 * per_class) / F.count(F.lit(1))).alias("share"))
+    rank = F.expr("pmod(xxhash64(id), 1073741824)")
+    drawn = (one.select(F.col(id_col).alias("id"), "label").join(F.broadcast(share), "label")
+             .withColumn("rank", rank).filter(F.col("rank") < F.col("share") * 1073741824).drop("share"))
     found = (fit.join(F.broadcast(drawn), fit[id_col] == drawn["id"])
              .select("id", "rank", "label", F.col(text_col).alias("text")).toPandas())
-    found = found.sort_values(["label", "rank"], kind="stable").drop_duplicates("id")
+    found = found.sort_values(["label", "rank", "id", "text"], kind="stable").drop_duplicates("id")
     return found.groupby("label").head(per_class).reset_index(drop=True)[["text", "label"]]
 
 

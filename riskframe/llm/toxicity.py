@@ -30,6 +30,7 @@ HIDDEN, DIM = 8, 12
 WORD_SLOTS, GRAM_SLOTS = 4096, 8192
 GRAMS = (3, 4, 5)
 AT_ONCE = 8192  # windows that run together
+WORDS_AT_ONCE = 1 << 15  # distinct words whose n-grams are gathered together
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -46,6 +47,13 @@ class Words:
 
     @staticmethod
     def of(words: list[bytes]) -> Words:
+        parts = [Words.some(words[lo:lo + WORDS_AT_ONCE]) for lo in range(0, len(words), WORDS_AT_ONCE)]
+        base = np.cumsum([0] + [len(p.gram) for p in parts[:-1]])
+        return Words(np.concatenate([p.word for p in parts]), np.concatenate([p.gram for p in parts]),
+                     np.concatenate([p.start + b for p, b in zip(parts, base)]))
+
+    @staticmethod
+    def some(words: list[bytes]) -> Words:
         marked = [b"<" + w + b">" for w in words]
         data = np.frombuffer(b"".join(marked), np.uint8).astype(np.uint64)
         size = np.array([len(w) for w in marked])
@@ -62,7 +70,7 @@ class Words:
             place = np.arange(len(data)) - begin[owner]
             mixed = (data + np.uint64(1)) * (place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0xD6E8FEB86659FD93))
             whole = np.add.reduceat(mixed ^ mixed >> np.uint64(31), begin)
-        slot = lambda x, n: ((x * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) % n
+        slot = lambda x, n: ((x * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int32) % n
         owners, codes = np.concatenate(owners), np.concatenate(codes)
         order = np.argsort(owners, kind="stable")
         count = np.bincount(owners, minlength=len(words))  # every word has an n-gram: two marks and a byte
@@ -110,9 +118,14 @@ class Network:
 
     def inputs(self, words: Words) -> np.ndarray:
         """Word and character part of each distinct word."""
-        count = np.diff(np.append(words.start, len(words.gram)))
-        chars = np.add.reduceat(self.p["gram"].take(words.gram, 0), words.start) / count[:, None].astype(np.float32)
-        return np.concatenate([self.p["word"].take(words.word, 0), chars], 1)
+        n, edge = len(words.word), np.append(words.start, len(words.gram))
+        x = np.empty((n, 2 * DIM), self.p["word"].dtype)
+        x[:, :DIM] = self.p["word"].take(words.word, 0)
+        for lo in range(0, n, WORDS_AT_ONCE):
+            own = edge[lo:lo + WORDS_AT_ONCE + 1]
+            sums = np.add.reduceat(self.p["gram"].take(words.gram[own[0]:own[-1]], 0), own[:-1] - own[0])
+            x[lo:lo + len(own) - 1, DIM:] = sums / np.diff(own)[:, None].astype(np.float32)
+        return x
 
     def gates(self, x: np.ndarray) -> dict:
         """Input part of all gates, a column for each word; the last one is padding."""
@@ -244,7 +257,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column, label_col: s
                  windows: int = 24_000, rounds: int = 6, rate: float = 0.01, seed: int = 7) -> Network | Constant:
     """A network fitted to a bounded sample of the labelled texts for which ``train`` holds."""
     sample = examples(docs, labels, label_col, train, per_class)
-    sample = sample[[bool(t.encode().split()) for t in sample["text"]]]
+    sample = sample[sample["text"].map(lambda t: bool(t.encode().split())).astype(bool)]
     y = sample["label"].to_numpy(np.float32)
     if len(set(y)) < 2:
         return Constant(float(y.mean()) if len(y) else 0.0)
