@@ -147,13 +147,13 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shards = max(1, -(-lines.count() // shard_keys))
     index = stored(line_index(lines, shards), "line-index")
     drops = dropped_lines(lines, index, shards, min_docs, per_salt).withColumnRenamed("doc_id", "drop_id")
-    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    joined = rows.join(drops, F.col("id").eqNullSafe(F.col("drop_id")), "left").select("row", "text", "drop")
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"))
+    joined = rows.join(drops, F.col("id").eqNullSafe(F.col("drop_id")), "left").select("row", "drop")
 
     def rewrite(batches):
         for b in batches:
             out = {"kept_text": [], "n_lines": [], "n_dropped": [], "kept_sha256": []}
-            for text, drop in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+            for text, drop in zip(b.column(0).field(text_col).to_pylist(), b.column(1).to_pylist()):
                 lose = {drop[i:i + 16] for i in range(0, len(drop), 16)} if drop else ()
                 lines = list(line_keys(text, min_chars))
                 kept = [line for line, key in lines if key not in lose]
