@@ -11,6 +11,9 @@ from ..functions.columns import parse_symbols, ts_lit
 from ..schemas import QUERY_HISTORY, TRANSACTION_COLUMNS
 
 
+DEFAULT_SYMBOLS = "AAPL,MSFT,GOOGL"   # fixed value: the universe when none is given
+
+
 def _missing(e: AnalysisException) -> bool:
     return "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e)
 
@@ -93,7 +96,7 @@ def history_window(history: DataFrame, as_of, hours: int = 1) -> DataFrame:
                           & (F.col("start_time") <= t))
 
 
-def filter_universe(df: DataFrame, symbols, col: str = "symbol") -> DataFrame:
+def filter_universe(df: DataFrame, symbols=DEFAULT_SYMBOLS, col: str = "symbol") -> DataFrame:
     """Keep rows of a symbol universe.
 
     ``symbols``: comma-separated text or list (a literal IN list), or a

@@ -309,3 +309,9 @@ def test_raise_on_fail_fails_the_job_and_any_action(spark):
         dq.raise_on_fail(res).count()
     with pytest.raises(Exception, match="NOT NULL column k"):
         dq.not_null(spark.createDataFrame([(None, 1)], "k string, v int"), ["k"]).count()
+
+
+def test_default_symbol_universe(spark):
+    df = spark.createDataFrame([("AAPL",), ("SPY",), ("GOOGL",)], "symbol string")
+    assert {r.symbol for r in src.filter_universe(df).collect()} == {"AAPL", "GOOGL"}
+    assert {r.symbol for r in src.filter_universe(df, " SPY ,").collect()} == {"SPY"}
