@@ -228,7 +228,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
         def run(batches, index=index):
             for b in batches:
                 row = b.column(0)
-                new = [m for group in in_groups(row.field(text_col).to_pylist()) for m in matches(group, index.value)]
+                new = [m for group in in_groups(row.field(text_col).to_pylist(), CHUNK) for m in matches(group, index.value)]
                 found = [old + m for old, m in zip(b.column(1).to_pylist(), new)]
                 yield pa.RecordBatch.from_arrays([row, pa.array(found, pa.list_(LEAK))], names=["row", "leaks"])
 

@@ -34,12 +34,12 @@ def examples(docs: DataFrame, labels: DataFrame, label_col: str, train: Column,
     return found.groupby("label").head(per_class).reset_index(drop=True)[["text", "label"]]
 
 
-def in_groups(texts: pd.Series) -> Iterator[list[str]]:
+def in_groups(texts: pd.Series, chars: int = GROUP_CHARS) -> Iterator[list[str]]:
     """The texts (null: empty) in runs of bounded size, a long text alone."""
     group, size = [], 0
     for t in texts:
         t = t if isinstance(t, str) else ""
-        if group and size + len(t) > GROUP_CHARS:
+        if group and size + len(t) > chars:
             yield group
             group, size = [], 0
         group.append(t)
