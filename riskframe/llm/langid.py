@@ -109,13 +109,15 @@ class Languages:
 
 
 def fit_languages(docs: DataFrame, train: Column, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text",
-                  per_lang: int = 1500) -> Languages:
+                  per_lang: int = 600) -> Languages:
     """Machines fitted to at most ``per_lang`` texts of each language for which ``train`` holds."""
     sample = examples(docs.select(id_col, text_col), docs.select(id_col, lang_col), lang_col, train, per_lang, id_col, text_col)
     sample = sample[sample["text"].map(lambda t: any(map(str.isalpha, t))).astype(bool)]
     if not len(sample):
         return Languages(Duel([], []), {})
-    x = np.array([vector(t) for t in sample["text"]], np.float32)
+    x = np.empty((len(sample), SLOTS), np.float32)
+    for i, t in enumerate(sample["text"]):
+        x[i] = vector(t)
     langs = sample["label"].to_numpy()
     family = np.array([FAMILY_OF.get(lang, lang) for lang in langs])
     return Languages(fit_duel(x, family), {f: fit_duel(x[family == f], langs[family == f]) for f in sorted(set(family))})
