@@ -15,7 +15,8 @@
    texts, differently in each band) pairs whose samples agree often enough to
    be similar are found locally; only a spanning forest of them is verified by
    exact weighted Jaccard similarity. A second round verifies all such pairs
-   that still lie in different components.
+   that still lie in different components; in a large bucket every text outside
+   its largest component meets all others of the bucket, block by block.
 6. Connected components of the verified links and equal texts are the classes.
 
 Words are split at white space, A-Z lower-cased. A text of fewer than five
@@ -39,6 +40,7 @@ from riskframe.llm.components import components
 
 SHINGLE = 5
 SAMPLES, BANDS, ROWS = 256, 16, 4
+SIDE_BYTES = 32 << 20  # of shingle keys on a side of a block
 AGREE = 0.72  # of the samples, for a pair to be verified: 3.2 standard errors below 0.8
 
 # Fixed tables of random variates; a shingle picks its own for each sample by a hash.
@@ -165,20 +167,20 @@ def members(blocks: DataFrame, replies: DataFrame, n_docs: int, bits: int, thres
 
 
 def bucketed(texts: DataFrame, bucket_part: int) -> DataFrame:
-    """band, key, deal, id, sample: texts that share a bucket, large buckets dealt to parts."""
+    """band, key, n, deal, id, bytes, sample: texts that share a bucket of n, large buckets dealt to parts."""
 
     def split(batches):
         for b in batches:
             key = np.frombuffer(b"".join(b.column(1).to_pylist()), np.int64).reshape(-1, BANDS)
             for band in range(BANDS):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), band, np.int32)), pa.array(np.ascontiguousarray(key[:, band])), b.column(0), b.column(2)],
-                                                 names=["band", "key", "id", "sample"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), band, np.int32)), pa.array(np.ascontiguousarray(key[:, band])), b.column(0), b.column(2), b.column(3)],
+                                                 names=["band", "key", "id", "sample", "bytes"])
 
-    entries = texts.select("id", "bands", "sample").mapInArrow(split, "band int, key long, id long, sample binary")
+    entries = texts.select("id", "bands", "sample", "bytes").mapInArrow(split, "band int, key long, id long, sample binary, bytes int")
     size = entries.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     return (entries.join(size, ["band", "key"])
             .withColumn("deal", F.expr(f"pmod(xxhash64(id, band), ceil(n / {bucket_part}))"))
-            .select("band", "key", "deal", "id", "sample"))
+            .select("band", "key", "n", "deal", "id", "bytes", "sample"))
 
 
 def close_pairs(buckets: DataFrame, forest: bool) -> DataFrame:
@@ -265,6 +267,63 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
             .groupBy("a", "b").agg(F.max("similar").alias("similar")))  # an id that repeats may carry several texts
 
 
+def links_in_block(block: pa.Table, threshold: float) -> pa.Table:
+    """a, b: verified links between rows (``side`` 0) and columns (1) of a block, enough to join all components they join."""
+    side, ids, minor = (block.column(n).to_numpy(zero_copy_only=False) for n in ("side", "id", "minor"))
+    sample = np.frombuffer(b"".join(block.column("sample").to_pylist()), np.uint8).reshape(-1, SAMPLES)
+    keys = [np.frombuffer(k, np.uint64) for k in block.column("keys").to_pylist()]
+    weights = [np.frombuffer(w, np.float32).astype(float) for w in block.column("weights").to_pylist()]
+    root = np.unique(block.column("c").to_numpy(), return_inverse=True)[1]
+    cols = np.flatnonzero(side == 1)
+    if not len(cols):
+        return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+    col_sample, col_ids, col_minor = sample[cols], ids[cols], minor[cols]
+    vocab, place = np.unique(np.concatenate([keys[j] for j in cols]), return_inverse=True)
+    place = np.split(place, np.cumsum([len(keys[j]) for j in cols])[:-1])
+    totals = np.array([w.sum() for w in weights])
+    out = []
+    for i in np.flatnonzero(side == 0):
+        # two texts outside the largest component meet twice: the smaller id is the row
+        near = np.flatnonzero((root[cols] != root[i]) & (col_ids != ids[i]) & ~(col_minor & (col_ids < ids[i])))
+        near = near[np.count_nonzero(col_sample[near] == sample[i], axis=1) >= AGREE * SAMPLES]
+        if not len(near):
+            continue
+        own, at = np.zeros(len(vocab)), np.searchsorted(vocab, keys[i])
+        at[at == len(vocab)] = 0
+        held = vocab[at] == keys[i]
+        own[at[held]] = weights[i][held]
+        for j in near:
+            low = np.minimum(own[place[j]], weights[cols[j]]).sum()
+            if root[cols[j]] != root[i] and low >= threshold * (totals[i] + totals[cols[j]] - low):
+                root[root == root[cols[j]]] = root[i]
+                out.append((min(ids[i], col_ids[j]), max(ids[i], col_ids[j])))
+    a, b = np.array(out, np.int64).reshape(-1, 2).T
+    return pa.table({"a": a, "b": b})
+
+
+def large_bucket_links(large: DataFrame, some: DataFrame, threshold: float, side: int) -> DataFrame:
+    """a, b: links between components inside large buckets (band, key, id, c, bytes), every pair of them looked at.
+
+    The texts outside a bucket's largest component are the rows of a table whose columns are all its texts; it is cut
+    into blocks of at most about ``side`` texts or ``SIDE_BYTES`` a side, and a task verifies the pairs of a block where they meet.
+    """
+    place = ["band", "key"]
+    sizes = large.groupBy(*place, "c").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
+    most = F.max(F.struct("n", "c", "bytes"))
+    blocks = lambda n, size: f"cast(ceil(greatest(({n}) / {side}, ({size}) / {SIDE_BYTES})) as int)"
+    mixed_buckets = (sizes.groupBy(*place).agg(most.alias("main"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))
+                     .filter("n > main.n")
+                     .select(*place, F.col("main.c").alias("main"), F.expr(blocks("n - main.n", "bytes - main.bytes")).alias("high"),
+                             F.expr(blocks("n", "bytes")).alias("wide")))
+    texts = large.join(mixed_buckets, place).withColumn("minor", F.col("c") != F.col("main"))
+    dealt = lambda n: F.expr(f"cast(pmod(xxhash64(id, band), {n}) as int)")
+    every = lambda n: F.explode(F.expr(f"sequence(0, {n} - 1)"))
+    rows = texts.filter("minor").select(*place, dealt("high").alias("i"), every("wide").alias("j"), F.lit(0).alias("side"), "id", "c", "minor")
+    cols = texts.select(*place, every("high").alias("i"), dealt("wide").alias("j"), F.lit(1).alias("side"), "id", "c", "minor")
+    return (rows.union(cols).join(some.select("id", "sample", "keys", "weights"), "id")
+            .groupBy(*place, "i", "j").applyInArrow(lambda block: links_in_block(block, threshold), "a long, b long").distinct())
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8,
                     idf_gain: float = 0.25, bucket_part: int = 256) -> DataFrame:
     """id, class_id: every row of ``docs`` with the smallest id of its class."""
@@ -278,17 +337,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     carrier = F.min(F.when(F.col("sample").isNotNull(), F.col("id"))).alias("carrier")
     texts = stored(every.filter("takes").groupBy("t1", "t2").agg(F.min("id").alias("first"), carrier), "near-texts")
     some = every.filter(F.col("sample").isNotNull())
-    carriers = some.select("id", "bands", "sample").join(texts.select(F.col("carrier").alias("id")), "id", "left_semi")
+    carriers = some.select("id", "bands", "sample", F.octet_length("keys").alias("bytes")).join(texts.select(F.col("carrier").alias("id")), "id", "left_semi")
     buckets = stored(bucketed(carriers, bucket_part), "near-buckets")
     tested = stored(verified(close_pairs(buckets, forest=True), some, threshold), "near-links")
     links = tested.filter("similar")
     labels = components(links)
     apart = (buckets.join(labels, buckets["id"] == labels["v"], "left")
-             .select("band", "key", "deal", "id", F.coalesce("c", "id").alias("c"), "sample"))
-    left = close_pairs(apart, forest=False).join(tested.select("a", "b"), ["a", "b"], "left_anti")
-    more = stored(verified(left, some, threshold).filter("similar"), "near-links")
+             .select("band", "key", "n", "deal", "id", "bytes", F.coalesce("c", "id").alias("c"), "sample"))
+    left = close_pairs(apart.filter(F.col("n") <= bucket_part), forest=False).join(tested.select("a", "b"), ["a", "b"], "left_anti")
+    large = stored(apart.filter(F.col("n") > bucket_part).drop("sample"), "near-large")
+    more = stored(verified(left, some, threshold).filter("similar").select("a", "b")
+                  .union(large_bucket_links(large, some, threshold, 8 * bucket_part)), "near-links")
     if not more.isEmpty():
-        labels = components(links.select("a", "b").union(more.select("a", "b")))
+        labels = components(links.select("a", "b").union(more))
     labelled = (texts.join(labels, F.col("carrier") == F.col("v"), "left")
                 .select("t1", "t2", F.coalesce("c", "carrier", "first").alias("label"), "first"))
     smallest = labelled.groupBy("label").agg(F.min("first").alias("class_id"))

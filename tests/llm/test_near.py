@@ -84,6 +84,20 @@ def test_large_group_of_near_copies_is_one_class(docs_of):
     assert {got[k] for k in range(400)} == {0} and all(got[k] == k for k in range(1000, 1020))
 
 
+def test_original_with_many_variants_that_are_not_near_each_other(docs_of):
+    """Every variant hangs on the original alone, and the buckets are much larger than a part."""
+    rng = random.Random(6)
+    base = [f"b{i}" for i in range(200)]
+    rows = [(0, " ".join(base))]
+    for k in range(1, 601):
+        copy = list(base)
+        for at in rng.sample(range(200), 3):
+            copy[at] = f"edit{k}x{at}"
+        rows.append((k, " ".join(copy)))
+    got = {r["id"]: r["class_id"] for r in neardup.near_duplicates(docs_of(rows), bucket_part=16).collect()}
+    assert set(got.values()) == {0}
+
+
 def test_empty_table(docs_of):
     assert neardup.near_duplicates(docs_of([])).collect() == []
 
