@@ -1,11 +1,13 @@
 """Benchmark decontamination by q-gram lemma filtering and banded alignment.
 
-Benchmark texts are cut into overlapping passages (a short text is one
-passage). A document holds a passage of m bytes with at most k edits only if
-both share at least m - q + 1 - k*q q-grams on neighbouring diagonals. So the
-shared q-grams of a document are counted in overlapping diagonal bands, the
-bands that reach the bound are kept, and each is verified by an alignment
-confined to its diagonals.
+Benchmark texts are cut into overlapping passages, one every ``STEP`` bytes (a
+short text is one passage). A document holds a passage of m bytes with at most
+k edits only if both share at least m - q + 1 - k*q q-grams on neighbouring
+diagonals. So the q-grams that a document shares with an item are gathered in
+overlapping diagonal bands, the passages that reach the bound in a band are
+kept, and each is verified by an alignment confined to its diagonals. A stretch
+of a passage's length is at most STEP / 2 bytes off a passage, so it is found at
+every offset in the item if it has STEP / 2 edits fewer than a passage may have.
 
 Texts are compared as UTF-8 bytes with A-Z lower-cased and white space as
 spaces. Null or empty documents match nothing; null or blank benchmark texts
@@ -33,7 +35,7 @@ Q = 8  # a q-gram is one 64-bit word
 SPACES = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
 FILTER_BITS, ODD = 20, np.uint64(0x9E3779B97F4A7C15)
 CHUNK = 1 << 20  # bytes of documents whose q-grams are looked up at once
-PLACES = 1 << 12  # more than a passage has bytes
+STEP = 8  # bytes between the passages of an item
 
 
 def normal(text: str) -> bytes:
@@ -56,15 +58,33 @@ class Index:
     items: np.ndarray      # item of each passage
     budget: np.ndarray     # edits allowed in each passage
     bound: np.ndarray      # shared q-grams needed
+    begin: np.ndarray      # place of each passage in its text
+    sizes: np.ndarray
+    own: np.ndarray        # passages of text i: own[i] .. own[i+1]
     keys: np.ndarray       # distinct q-grams, sorted
     first: np.ndarray      # postings of key i: first[i] .. first[i+1]
-    passage: np.ndarray    # postings
+    text: np.ndarray       # postings
     offset: np.ndarray
     maybe: np.ndarray      # which filter slots hold a q-gram
-    matrix: np.ndarray     # bytes of each passage, zero-padded
-    sizes: np.ndarray
+    data: np.ndarray       # bytes of all texts, and zeros for as long as a passage
+    starts: np.ndarray     # begin of each passage in them
     short: list[tuple[int, bytes]]
 
+    @property
+    def places(self) -> int:
+        """More than a text has places."""
+        return int((self.begin + self.sizes).max(initial=0)) + 1
+
+    def patterns(self, passages: np.ndarray) -> np.ndarray:
+        """Bytes of the passages, one a row, zero-padded."""
+        sizes = self.sizes[passages, None]
+        ramp = np.arange(sizes.max(initial=0))
+        return np.where(ramp < sizes, self.data[self.starts[passages, None] + ramp], 0).astype(np.uint8)
+
+    @property
+    def matrix(self) -> np.ndarray:
+        return self.patterns(np.arange(len(self.sizes)))
+
     @property
     def reach(self) -> int:
         """Step of the diagonal bands: no less than any budget."""
@@ -72,21 +92,23 @@ class Index:
 
 
 def build_index(rows: list[tuple[int, str | None]], error: float, size: int) -> Index:
-    assert size < PLACES
-    passages, items, short = [], [], []
+    texts, begins, items, short = [], [], [], []
     for item, text in rows:
         data = normal(text or "").strip()
         if len(data) < Q:
             short += [(item, data)] if data else []
             continue
-        starts = list(range(0, max(1, len(data) - size + 1), size // 2))
-        if len(data) > size and starts[-1] + size < len(data):
-            starts.append(len(data) - size)
-        passages += [data[s:s + size] for s in starts]
-        items += [item] * len(starts)
-    m = np.array([len(p) for p in passages], np.int64)
+        begin = np.arange(0, max(1, len(data) - size + 1), STEP)
+        if len(data) > size and begin[-1] + size < len(data):
+            begin = np.append(begin, len(data) - size)
+        texts.append(data)
+        begins.append(begin)
+        items.append(item)
+    count, lengths = np.array([len(b) for b in begins], np.int64), np.array([len(t) for t in texts], np.int64)
+    begin = np.concatenate(begins) if begins else np.zeros(0, np.int64)
+    m = np.repeat(np.minimum(lengths, size), count)
     budget = np.minimum((error * m).astype(np.int64), (m - Q) // Q)  # keeps the bound at 1 at least
-    g = [grams(p) for p in passages]
+    g = [grams(t) for t in texts]
     g_all = np.concatenate(g) if g else np.zeros(0, np.uint64)
     owner = np.repeat(np.arange(len(g)), [len(x) for x in g])
     offset = np.concatenate([np.arange(len(x)) for x in g]) if g else np.zeros(0, np.int64)
@@ -94,11 +116,9 @@ def build_index(rows: list[tuple[int, str | None]], error: float, size: int) ->
     keys, first = np.unique(g_all[order], return_index=True)
     maybe = np.zeros(1 << FILTER_BITS, bool)
     maybe[filter_slot(keys)] = True
-    matrix = np.zeros((len(passages), int(m.max(initial=0))), np.uint8)
-    for i, p in enumerate(passages):
-        matrix[i, :len(p)] = np.frombuffer(p, np.uint8)
-    return Index(np.array(items, np.int64), budget, m - Q + 1 - budget * Q, keys, np.append(first, len(order)),
-                 owner[order], offset[order], maybe, matrix, m, short)
+    return Index(np.repeat(np.array(items, np.int64), count), budget, m - Q + 1 - budget * Q, begin, m, np.append(0, np.cumsum(count)),
+                 keys, np.append(first, len(order)), owner[order], offset[order], maybe,
+                 np.frombuffer(b"".join(texts) + bytes(size), np.uint8), np.repeat(np.cumsum(lengths) - lengths, count) + begin, short)
 
 
 def align(patterns: np.ndarray, sizes: np.ndarray, texts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -133,24 +153,33 @@ def shared_bands(buffer: bytes, index: Index) -> tuple[np.ndarray, np.ndarray]:
         k, pos = k[hit], near[hit] + start
         n = index.first[k + 1] - index.first[k]
         post = np.repeat(index.first[k] - np.cumsum(n) + n, n) + np.arange(n.sum())
-        owner.append(index.passage[post])
+        owner.append(index.text[post])
         place.append(index.offset[post])
         diag.append(np.repeat(pos, n) - place[-1])
     owner, place, diag = (np.concatenate(x) for x in (owner, place, diag))
     band, spare = np.divmod(diag, index.reach)
-    both = np.flatnonzero(spare < index.budget[owner])  # also in the band before, which reaches that far
+    budget, bound, places = index.budget[index.own[:-1]], index.bound[index.own[:-1]], index.places  # a text's passages are alike
+    both = np.flatnonzero(spare < budget[owner])  # also in the band before, which reaches that far
     owner, place, band = (np.r_[x, x[both]] for x in (owner, place, band))
     band[len(diag):] -= 1
     if not len(band):
         return owner, band
     low, span = band.min(), int(band.max() - band.min()) + 1
     key = owner * span + (band - low)
-    # all hits of a slot of bands first, then each q-gram of a passage once in its band
+    # all hits of a slot of bands first, then each q-gram of a text once in its band
     slot = ((key.astype(np.uint64) * ODD) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-    many = np.flatnonzero(np.bincount(slot, minlength=1 << FILTER_BITS)[slot] >= index.bound[owner])
-    found, count = np.unique(np.unique(key[many] * PLACES + place[many]) // PLACES, return_counts=True)
-    full = found[count >= index.bound[found // span]]
-    return full // span, full % span + low
+    many = np.flatnonzero(np.bincount(slot, minlength=1 << FILTER_BITS)[slot] >= bound[owner])
+    hits = np.unique(key[many] * places + place[many])
+    found, count = np.unique(hits // places, return_counts=True)
+    found = found[count >= bound[found // span]]
+    # the passages of the text that hold enough of them
+    n = index.own[found // span + 1] - index.own[found // span]
+    passage = np.repeat(index.own[found // span] - np.cumsum(n) + n, n) + np.arange(n.sum())
+    found = np.repeat(found, n)
+    first = found * places + index.begin[passage]
+    inside = np.searchsorted(hits, first + index.sizes[passage] - Q, side="right") - np.searchsorted(hits, first)
+    full = np.flatnonzero(inside >= index.bound[passage])
+    return passage[full], found[full] % span + low
 
 
 def aligned(buffer: np.ndarray, owner: np.ndarray, band: np.ndarray, index: Index) -> tuple[np.ndarray, ...]:
@@ -162,8 +191,8 @@ def aligned(buffer: np.ndarray, owner: np.ndarray, band: np.ndarray, index: Inde
     for lo in range(0, len(order), 512):
         o, b = owner[order[lo:lo + 512]], band[order[lo:lo + 512]]
         sizes = index.sizes[o]
-        patterns = index.matrix[o, :sizes.max()]
-        at = b * index.reach - most
+        patterns = index.patterns(o)
+        at = b * index.reach - most + index.begin[o]
         edits, end = align(patterns, sizes, buffer.take(at[:, None] + np.arange(patterns.shape[1] + width), mode="clip"), width)
         good = np.flatnonzero(edits <= index.budget[o])
         o, edits, end, sizes = o[good], edits[good], (at + end)[good] + sizes[good], sizes[good]
@@ -171,7 +200,7 @@ def aligned(buffer: np.ndarray, owner: np.ndarray, band: np.ndarray, index: Inde
             continue
         # backwards from the end, for the begin
         places = sizes[:, None] - 1 - np.arange(sizes.max())
-        back = np.where(places >= 0, index.matrix[o[:, None], np.maximum(places, 0)], 0)
+        back = np.where(places >= 0, np.take_along_axis(index.patterns(o), np.maximum(places, 0), 1), 0)
         width_ = 2 * most + 1
         _, first = align(back, sizes, buffer.take((end + most - 1)[:, None] - np.arange(back.shape[1] + width_), mode="clip"), width_)
         out.append(np.stack([o, edits, end + most - first - sizes, end]))

@@ -72,6 +72,22 @@ def test_find_leaks_over_parts_and_clashing_columns(spark, docs_of):
     assert all(not r["leaks"] for r in decontam.find_leaks(docs_of(rows), bench.limit(0)).collect())
 
 
+def test_excerpts_are_found_at_every_offset():
+    rng = random.Random(8)
+    item = "".join(rng.choice("abcdefghij klmnop") for _ in range(394)).strip()
+    item += "z" * (394 - len(item))
+    index = decontam.build_index([(1, "some other text of the benchmark"), (7, item)], 0.1, 160)
+    for length, edits in ((160, 0), (160, 12)):
+        excerpts = []
+        for at in range(len(item) - length + 1):
+            t = list(item[at:at + length])
+            for place in rng.sample(range(10, length - 10), edits):
+                t[place] = "#"
+            excerpts.append("w" * rng.randrange(50) + "".join(t) + "v" * rng.randrange(50))
+        assert all([m["item_id"] for m in found] == [7] for found in decontam.matches(excerpts, index))
+    assert decontam.matches([item[100:220]], index) == [[]]
+
+
 def test_spans_point_at_the_passage():
     text = "überall " * 10 + "a benchmark passage that is long enough to be found in here" + " und so weiter" * 5
     index = decontam.build_index([(1, "a benchmark passage that is long enough to be found in here")], 0.1, 160)
