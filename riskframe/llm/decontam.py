@@ -12,8 +12,8 @@ every offset in the item if it has STEP / 2 edits fewer than a passage may have.
 Texts are compared as UTF-8 bytes with A-Z lower-cased and white space as
 spaces. Null or empty documents match nothing; null or blank benchmark texts
 match nothing; benchmark texts of fewer than q bytes must occur exactly.
-Repeated documents are judged alike, repeated benchmark rows give their own
-matches. Other columns pass through untouched.
+A null item_id counts as a hash of its text. Repeated documents are judged alike,
+repeated benchmark rows give their own matches. Other columns pass through untouched.
 
 The benchmark is indexed in parts of at most ``part_bytes``; each part is
 broadcast for one pass over the documents, so a larger benchmark costs more
@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.llm.common import whole_text
 from riskframe.llm.samples import in_groups
 
 Q = 8  # a q-gram is one 64-bit word
@@ -245,14 +246,15 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
     Every text is whole in one task, which walks over it in chunks.
     """
     spark = docs.sparkSession
-    items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text_col).alias("text"))
+    item = F.coalesce(F.col(item_col).cast("long"), F.xxhash64(whole_text(F.col(item_text_col))))
+    items = benchmark.select(item.alias("item"), F.col(item_text_col).alias("text"))
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = max(1, -(-total // part_bytes))
     out = docs.select(F.struct("*").alias("row"), F.array().cast("array<struct<item_id:long,edits:long,passages:long,start:long,end:long>>").alias("leaks"))
     schema = out.schema
     for part in range(parts):
         rows = items.filter(F.expr(f"pmod(xxhash64(item), {parts}) = {part}")).collect()
-        index = spark.sparkContext.broadcast(build_index([(r["item"], r["text"]) for r in rows if r["item"] is not None], error, passage_bytes))
+        index = spark.sparkContext.broadcast(build_index([(r["item"], r["text"]) for r in rows], error, passage_bytes))
 
         def run(batches, index=index):
             for b in batches:

@@ -88,6 +88,14 @@ def test_excerpts_are_found_at_every_offset():
     assert decontam.matches([item[100:220]], index) == [[]]
 
 
+def test_items_without_an_id_are_found(spark, docs_of):
+    bench = spark.createDataFrame([(None, "a passage whose row has no id at all"), (None, None), (3, "a passage with an id")], "item_id long, text string")
+    rows = [(1, "here is a passage whose row has no id at all"), (2, "a passage with an id here"), (3, "neither of the two")]
+    for parts in ({}, {"part_bytes": 10}):
+        got = {r["row"]["doc_id"]: [m["item_id"] for m in r["leaks"]] for r in decontam.find_leaks(docs_of(rows), bench, **parts).collect()}
+        assert len(got[1]) == 1 and got[1] != [3] and got[2] == [3] and got[3] == []
+
+
 def test_spans_point_at_the_passage():
     text = "überall " * 10 + "a benchmark passage that is long enough to be found in here" + " und so weiter" * 5
     index = decontam.build_index([(1, "a benchmark passage that is long enough to be found in here")], 0.1, 160)
