@@ -12,6 +12,7 @@ from riskframe.llm.decontam import find_leaks
 from riskframe.llm.langid import fit_languages, identify
 from riskframe.llm.linededup import dedup_lines
 from riskframe.llm.lm import score_texts
+from riskframe.llm.merkle import manifest
 from riskframe.llm.mixing import mix_sources
 from riskframe.llm.neardup import near_duplicates
 from riskframe.llm.quality import fit_quality, score_quality
@@ -85,6 +86,13 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", held_out(4, 2).alias("held_out"), "lang_pred", "score"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every second document (by crc32) is found without its line breaks."""
+    found = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.replace("text", F.lit("\n"), F.lit("")))
+    return (manifest(table(spark, sf_dir, "documents"), changed={"text": found})
+            .select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_line_dedup": op2_line_dedup,
@@ -96,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_top_k": op8_top_k,
     "op9_mixing": op9_mixing,
     "op10_language_id": op10_language_id,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE: dict[str, str] = {
