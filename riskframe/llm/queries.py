@@ -16,6 +16,7 @@ from riskframe.llm.merkle import manifest
 from riskframe.llm.mixing import mix_sources
 from riskframe.llm.neardup import near_duplicates
 from riskframe.llm.quality import fit_quality, score_quality
+from riskframe.llm.spelling import group_variants
 from riskframe.llm.topk import top_k
 from riskframe.llm.toxicity import fit_toxicity, score_toxicity
 from riskframe.llm.urls import judge_urls
@@ -86,6 +87,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", held_out(4, 2).alias("held_out"), "lang_pred", "score"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every second document (by crc32) is found without its line breaks."""
     found = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.replace("text", F.lit("\n"), F.lit("")))
@@ -104,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_top_k": op8_top_k,
     "op9_mixing": op9_mixing,
     "op10_language_id": op10_language_id,
+    "op11_spelling_variants": op11_spelling_variants,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
