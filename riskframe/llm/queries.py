@@ -16,6 +16,7 @@ from riskframe.llm.merkle import manifest
 from riskframe.llm.mixing import mix_sources
 from riskframe.llm.neardup import near_duplicates
 from riskframe.llm.quality import fit_quality, score_quality
+from riskframe.llm.repeats import drop_repeats
 from riskframe.llm.spelling import group_variants
 from riskframe.llm.topk import top_k
 from riskframe.llm.toxicity import fit_toxicity, score_toxicity
@@ -91,6 +92,12 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op12_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (drop_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+            .select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                    F.sha2("kept", 256).alias("kept_sha256")))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every second document (by crc32) is found without its line breaks."""
     found = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.replace("text", F.lit("\n"), F.lit("")))
@@ -110,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_language_id": op10_language_id,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_repeats": op12_repeats,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
