@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from riskframe.llm.common import stored
 
-WIDTH = 32            # bytes of an anchor
+WIDTH = 48            # bytes of an anchor
 AT_ONCE = 1 << 20     # bytes of text hashed at once (below 2 ** 24)
 LAST = np.iinfo(np.int64).max
 BASE = 0x9E3779B97F4A7C15
@@ -223,15 +223,27 @@ def with_bytes(places: DataFrame, texts: DataFrame, length: int) -> DataFrame:
     of_text = places.groupBy("id", "tie").agg(F.collect_list(F.struct("start", "n", "key", "mark", "off")).alias("places"))
 
     def run(batches):
+        unpack = zstandard.ZstdDecompressor().decompress
         for b in batches:
+            many = b.column(3).value_lengths().to_numpy()
+            flat = b.column(3).flatten()
+            start, n = flat.field("start").to_numpy(), flat.field("n").to_numpy()
+            of, end, lo = np.repeat(np.arange(b.num_rows), many), np.cumsum(many), 0
+            found: list[bytes] = []
+            size = 0
             for i in range(b.num_rows):
-                (row,) = b.slice(i, 1).to_pylist()
-                text = zstandard.ZstdDecompressor().decompress(row["packed"])
-                for lo in range(0, len(row["places"]), 10_000):
-                    pdf = pd.DataFrame(row["places"][lo:lo + 10_000])
-                    pdf["bytes"] = [text[s:s + n + length - 1] for s, n in zip(pdf["start"], pdf["n"])]
-                    pdf = pdf.assign(kind=FRAGMENT, id=row["id"], tie=row["tie"])
-                    yield as_batch(pdf[["kind", "id", "tie", "start", "n", "key", "mark", "off", "bytes"]])
+                text = unpack(b.column(2)[i].as_py())
+                here = slice(end[i] - many[i], end[i])
+                found += [text[x:x + m + length - 1] for x, m in zip(start[here].tolist(), n[here].tolist())]
+                size += len(text)
+                if size < 4 * AT_ONCE and i + 1 < b.num_rows:
+                    continue
+                own = slice(lo, end[i])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(found), FRAGMENT, np.int32)), b.column(0).take(pa.array(of[own])), b.column(1).take(pa.array(of[own])),
+                     *(flat.field(c)[lo:end[i]] for c in ("start", "n", "key", "mark", "off")), pa.array(found, pa.binary())],
+                    names=["kind", "id", "tie", "start", "n", "key", "mark", "off", "bytes"])
+                found, size, lo = [], 0, end[i]
 
     return packed(texts).join(of_text, ["id", "tie"]).select("id", "tie", "packed", "places").mapInArrow(run, WITH_BYTES)
 
@@ -322,6 +334,11 @@ def repeats_of(t: pa.Table, length: int) -> pd.DataFrame:
     data = np.frombuffer(b"".join(pdf["bytes"]), np.uint8)
     at = base[of] + step
     key = pd.factorize(pdf["key"])[0][of]
+    # a start whose string no other has is in no interval of this length
+    _, group, many = np.unique(Hashes(data).of(at, at + length), return_inverse=True, return_counts=True)
+    at, of, step, key = (v[many[group] > 1] for v in (at, of, step, key))
+    if not len(at):
+        return pdf.iloc[:0][["kind", "id", "tie", "start", "n"]]
     order, lcp = suffix_array(data, at, size[of] - step, key)
     left = np.where(step > 0, data[at - 1].astype(np.int64), -1)
     start = pdf["start"].to_numpy(np.int64)[of] + step
@@ -406,20 +423,25 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
              .agg(F.collect_list(F.struct("start", "n")).alias("spans")))
 
     def run(batches):
+        unpack = zstandard.ZstdDecompressor().decompress
         for b in batches:
+            out, size = [], 0
             for i in range(b.num_rows):
-                (row,) = b.slice(i, 1).to_pylist()
-                text = zstandard.ZstdDecompressor().decompress(row["packed"])
+                text = unpack(b.column(1)[i].as_py())
                 runs: list[list[int]] = []
-                for s in sorted((s["start"], s["n"]) for s in row["spans"] or []):
+                for s in sorted((s["start"], s["n"]) for s in b.column(3)[i].as_py() or []):
                     if runs and s[0] <= runs[-1][1]:
                         runs[-1][1] = max(runs[-1][1], sum(s))
                     else:
                         runs.append([s[0], sum(s)])
                 cuts = [0, *(x for r in runs for x in r), len(text)]
-                kept = b"".join(text[a:b] for a, b in zip(cuts[::2], cuts[1::2]))
-                yield pa.RecordBatch.from_pylist([{"id": row["id"], "copies": row["copies"], "n_bytes": len(text), "n_removed": len(text) - len(kept),
-                                                   "spans": [{"start": a, "n": b - a} for a, b in runs], "kept": kept}], schema)
+                kept = b"".join(text[x:y] for x, y in zip(cuts[::2], cuts[1::2]))
+                out.append({"id": b.column(0)[i].as_py(), "copies": b.column(2)[i].as_py(), "n_bytes": len(text), "n_removed": len(text) - len(kept),
+                            "spans": [{"start": x, "n": y - x} for x, y in runs], "kept": kept})
+                size += len(text)
+                if size >= 4 * AT_ONCE or i + 1 == b.num_rows:
+                    yield pa.RecordBatch.from_pylist(out, schema)
+                    out, size = [], 0
 
     schema = pa.schema([("id", pa.int64()), ("copies", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
                         ("spans", pa.list_(pa.struct([("start", pa.int64()), ("n", pa.int64())]))), ("kept", pa.binary())])

@@ -49,7 +49,7 @@ def prose(seed, docs, words=60, parts=12):
     return rows + [(1000 + i, rows[i][1]) for i in range(0, docs, 4)]
 
 
-@pytest.mark.parametrize("length, group_rows", [(100, 4096), (40, 4096), (60, 3), (34, 2)])
+@pytest.mark.parametrize("length, group_rows", [(100, 4096), (64, 4096), (80, 3), (50, 2)])
 def test_equals_brute_force(docs_of, length, group_rows):
     """Also where crowded keys are cut finer, down to single starts."""
     rows = prose(length, 60)
@@ -71,7 +71,7 @@ def test_periodic_texts(docs_of):
 def test_long_texts_in_pieces(docs_of, monkeypatch):
     monkeypatch.setattr(repeats, "AT_ONCE", 256)
     rows = prose(5, 30)
-    assert run(docs_of(rows), 50) == brute(rows, 50)
+    assert run(docs_of(rows), 60) == brute(rows, 60)
 
 
 def test_nasty_rows(docs_of):
@@ -96,7 +96,7 @@ def test_empty_table(docs_of):
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.binary(min_size=40, max_size=300), min_size=1, max_size=5), st.integers(34, 40))
+@given(st.lists(st.binary(min_size=60, max_size=300), min_size=1, max_size=5), st.integers(50, 60))
 def test_fragments_cover_every_start_once(texts, length):
     data = np.frombuffer(b"".join(texts), np.uint8)
     text, start, n, key, mark, off = fragments(data, np.cumsum([len(t) for t in texts]), length)
