@@ -151,3 +151,21 @@ def test_upsert_reads_only_touched_partitions(spark):
     pruned = next(line for line in text.splitlines() if line.startswith("PartitionFilters: [") and "2021-01" in line)
     assert "2021-02" in pruned and "2020" not in pruned and "hashpartitioning(month" not in text
     assert merged.count() == 34          # the rows of the two months, of 400
+
+
+def test_entry_imports_without_the_corpus_operators(tmp_path):
+    """With the llm folders gone (with and without the pipeline file) the catalog is still served."""
+    import os
+    import shutil
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    copy = tmp_path / "copy"
+    shutil.copytree(f"{root}/riskframe", copy / "riskframe", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(f"{root}/__spark_entry__.py", copy)
+    code = ("import __spark_entry__ as e; q, o = e.queries(), e.oracle_sql(); "
+            "assert 'portfolio_metrics' in q and set(o) <= set(q) and not any(k.startswith('op') and k[2:3].isdigit() for k in q) and 'pipeline' not in q")
+    for with_pipeline in (False, True):
+        if with_pipeline and os.path.exists(f"{root}/corpus_pipeline.py"):
+            shutil.copy(f"{root}/corpus_pipeline.py", copy)
+        subprocess.run([sys.executable, "-c", code], cwd=copy, check=True, timeout=120)
