@@ -1,8 +1,8 @@
 """Exact top-k inner products by a Voronoi kNN join.
 
 1. Vectors become integers. Identical vectors are one distinct vector with its
-   k + 1 smallest ids (a query asks for k rows besides itself, ties to the
-   smaller id), so copies never need more.
+   2k smallest ids, no id more than k times: a query asks for k rows of other ids
+   than its own, ties to the smaller id, so copies never need more.
 2. Pivots are a seeded sample of distinct vectors; each vector belongs to the
    cell of its nearest pivot. A cell's summary is its largest distance to the
    pivot and largest norm.
@@ -40,19 +40,22 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & (F.size(vector) > 0) & ~F.exists(vector, bad)
 
 
-def smallest_ids(vectors: DataFrame, keep: int) -> DataFrame:
-    """vec, ids: each distinct vector with its ``keep`` smallest ids; copies shrink before and after the shuffle."""
+def smallest_ids(vectors: DataFrame, k: int) -> DataFrame:
+    """vec, ids: each distinct vector with its 2k smallest ids, at most k of one id, so that k are left
+    without any one id; copies shrink before and after the shuffle."""
+    keep = 2 * k
 
     def per_batch(batches):
         for b in batches:
             pdf = pd.DataFrame({"vec": b.column(1).to_pylist(), "id": b.column(0).to_numpy(zero_copy_only=False)})
             pdf["vec"] = [np.array(v, "<i8").tobytes() for v in pdf["vec"]]
-            pdf = pdf.sort_values("id").groupby("vec", sort=False).head(keep)
+            pdf = pdf.sort_values("id").groupby(["vec", "id"], sort=False).head(k).groupby("vec", sort=False).head(keep)
             yield pa.RecordBatch.from_pandas(pdf, preserve_index=False)
 
     few = vectors.mapInArrow(per_batch, "vec binary, id long")
-    rank = Window.partitionBy("vec", "salt").orderBy("id")
+    own, rank = Window.partitionBy("vec", "salt", "id").orderBy("id"), Window.partitionBy("vec", "salt").orderBy("id")
     salted = (few.withColumn("salt", F.expr("pmod(xxhash64(id), 64)"))
+              .withColumn("copy", F.row_number().over(own)).filter(F.col("copy") <= k)
               .withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= keep))
     return salted.groupBy("vec").agg(F.slice(F.array_sort(F.collect_list("id")), 1, keep).alias("ids"))  # 64 * keep ids at most
 
@@ -76,7 +79,7 @@ def top_k(embeddings: DataFrame, queries: Column, id_col: str = "vec_id", vector
     rows = (embeddings.filter(usable(F.col(vector_col)) & F.col(id_col).isNotNull())
             .select(F.col(id_col).cast("long").alias("id"), quantised(F.col(vector_col), scale).alias("vec"),
                     F.coalesce(queries, F.lit(False)).alias("asked")))
-    distinct = stored(smallest_ids(rows.select("id", "vec"), k + 1), "knn-vectors")
+    distinct = stored(smallest_ids(rows.select("id", "vec"), k), "knn-vectors")
     n, size = distinct.agg(F.count(F.lit(1)), F.coalesce(F.max(F.octet_length("vec")), F.lit(0))).first()
     size //= 8
     count = min(4096, pivots or max(1, int(n ** 0.5)))
@@ -139,8 +142,13 @@ def top_k(embeddings: DataFrame, queries: Column, id_col: str = "vec_id", vector
     def answers(x: np.ndarray, ids: list, vecs: list[bytes], asks: np.ndarray):
         """The best k rows of the held vectors for each query, ties to the smaller id."""
         scores = (pad(vecs, size) @ x.T).astype(np.int64)
+        alone: dict[int, list[int]] = {}        # vectors that no other id holds can't answer that id
+        for j, held in enumerate(ids):
+            if held[0] == held[-1]:
+                alone.setdefault(int(held[0]), []).append(j)
         for s, me, vec in zip(scores, asks, vecs):
-            edge = np.partition(s, -min(len(s), k + 1))[-min(len(s), k + 1)]  # one vector may be the query's own row only
+            s[alone.get(int(me), [])] = np.iinfo(np.int64).min
+            edge = np.partition(s, -min(len(s), k))[-min(len(s), k)]
             best = sorted((-int(s[j]), int(o)) for j in np.flatnonzero(s >= edge) for o in ids[j] if o != me)[:k]
             for score, o in best:
                 yield int(me), o, -score, vec

@@ -178,3 +178,16 @@ def test_top_k_of_few_rows(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.0])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in top_k(df, F.col("vec_id") == 0).collect()] == [(0, 1, 1, 1024 * 512)]
     assert top_k(df.limit(0), F.col("vec_id") == 0).count() == 0
+
+
+def test_top_k_with_many_rows_of_the_querys_own_id(spark):
+    """A query finds k rows of other ids, however often its own id stands beside them or on other vectors."""
+    rows = [(100, [8.0, 0.0])] * 25 + [(100, [9.0 + i, 0.0]) for i in range(15)] + [(100 + i, [8.0, 0.0]) for i in range(1, 11)]
+    rows += [(200, [8.0, 0.0])] * 12 + [(300 + i, [1.0, 1.0]) for i in range(10)] + [(5, [0.5, 0.5])] * 30
+    got = top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id").isin(100, 5), pivots=3).collect()
+    for query, vectors in ((100, {(8.0, 0.0)} | {(9.0 + i, 0.0) for i in range(15)}), (5, {(0.5, 0.5)})):
+        lists = []
+        for q in vectors:
+            scored = sorted((-sum(int(1024 * a) * int(1024 * b) for a, b in zip(q, v)), i) for i, v in rows if i != query)[:10]
+            lists += [(query, rank, i, -s) for rank, (s, i) in enumerate(scored, 1)]
+        assert sorted(tuple(r) for r in got if r["query_id"] == query) == sorted(lists)
