@@ -68,7 +68,7 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return (judge_urls(pages)
-            .select(F.col("row.page_id").alias("page_id"), "host", "path", "rule", "score", "verdict"))
+            .select(F.col("row.page_id").alias("page_id"), "host", "path", "rule", "verdict", "score"))
 
 
 def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,7 +78,7 @@ def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return (mix_sources(docs)
-            .select(F.col("row.doc_id").alias("doc_id"), "source", "size", "source_size", "target", "taken"))
+            .select(F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", "taken", "source"))
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
