@@ -78,24 +78,26 @@ def advance_watermark(store: Store, source: str, table: str, date_col: str = "da
 
 
 def load_feed(store: Store, feed: DataFrame, table: str, source: str, clean=None, date_col: str = "date",
-              advance: bool = True) -> DataFrame:
+              advance: bool = True, late: bool = False) -> DataFrame:
     """Rows newer than the watermark -> clean -> upsert into ``table`` ->
     watermark = the max date loaded. An empty batch changes nothing. Without
-    ``advance`` the watermark stays, so that a later run reads the same dates again."""
-    meta = store.read("load_metadata")
-    batch = new_rows(feed, meta, source, date_col)
+    ``advance`` the watermark stays, so that a later run reads the same dates again.
+    With ``late`` rows of any date are merged where their key is not stored yet (stored
+    rows stay), for feeds whose entities do not arrive in one order of dates."""
+    batch = feed if late else new_rows(feed, store.read("load_metadata"), source, date_col)
     if clean is not None:
         batch = clean(batch)
-    out = store.upsert(table, batch, insert_defaults={"_ingested_at": F.current_timestamp()})
+    out = store.upsert(table, batch, update_cols=[] if late else None, insert_defaults={"_ingested_at": F.current_timestamp()})
     if advance:
         advance_watermark(store, source, table, date_col)
     return out
 
 
 def build_prices(store: Store, default_start: str = "2025-01-01", pair: str = "USDGBP",
-                 history: str = "window", lookback_days: int = 120) -> DataFrame:
+                 history: str = "window", lookback_days: int = 120, advance: bool = True) -> DataFrame:
     """FACT_PRICES rows after the 'fact_prices' watermark, merged on
-    (symbol, date); the watermark becomes the max date written (not today).
+    (symbol, date); the watermark becomes the max date written (not today), or
+    stays without ``advance``: the same dates are computed again next time.
 
     The equity scan is bounded: month partitions of the last ``lookback_days``
     before the watermark, plus the older rows of symbols with too little recent
@@ -119,7 +121,8 @@ def build_prices(store: Store, default_start: str = "2025-01-01", pair: str = "U
         base = base.unionByName(older.join(need, "symbol", "left_semi"))
     rows = prc.fact_prices(base, fx, dim, after=cut, pair=pair, history=history, default_start=default_start)
     out = store.upsert("fact_prices", rows)
-    advance_watermark(store, "fact_prices", "fact_prices")
+    if advance:
+        advance_watermark(store, "fact_prices", "fact_prices")
     return out
 
 
@@ -141,7 +144,7 @@ def build_positions(store: Store, as_of) -> DataFrame:
     return out
 
 
-def build_daily(store: Store) -> DataFrame:
+def build_daily(store: Store, advance: bool = True) -> DataFrame:
     """The holdings join aggregated to (portfolio, day), for the days after the
     last stored one: prices and positions are read from that month on only."""
     last = watermark_value(store.read("load_metadata"), "portfolio_daily")
@@ -149,24 +152,26 @@ def build_daily(store: Store) -> DataFrame:
     rows = met.daily(met.holdings(as_double(store.read("fact_prices", where=later)),
                                   as_double(store.read("portfolio_positions_daily", where=later))))
     out = store.upsert("portfolio_daily", rows)
-    advance_watermark(store, "portfolio_daily", "portfolio_daily")
+    if advance:
+        advance_watermark(store, "portfolio_daily", "portfolio_daily")
     return out
 
 
-def build_metrics(store: Store) -> DataFrame:
+def build_metrics(store: Store, advance: bool = True) -> DataFrame:
     """M3 stored: new days are aggregated once, the windows run over the small
     daily table, and the days after the last stored one are merged."""
-    daily = build_daily(store)
+    daily = build_daily(store, advance)
     last = watermark_value(store.read("load_metadata"), "portfolio_metrics")
     out = store.upsert("fact_portfolio_metrics", met.over_days(daily).filter(F.col("date") > last))
-    advance_watermark(store, "portfolio_metrics", "fact_portfolio_metrics")
+    if advance:
+        advance_watermark(store, "portfolio_metrics", "fact_portfolio_metrics")
     return out
 
 
-def build_advanced(store: Store, benchmark: str = "SPY") -> DataFrame:
+def build_advanced(store: Store, benchmark: str = "SPY", advance: bool = True) -> DataFrame:
     """I8: the advanced metrics of all stored metric days (small: one row per
     portfolio and day), merged on (date, portfolio_id). Builds the metrics first."""
-    rows = adv.advanced_metrics(build_metrics(store), as_double(store.read("fact_benchmark")), benchmark)
+    rows = adv.advanced_metrics(build_metrics(store, advance), as_double(store.read("fact_benchmark")), benchmark)
     return store.upsert("fact_portfolio_adv_metrics", rows)
 
 

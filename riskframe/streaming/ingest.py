@@ -2,9 +2,9 @@
 
 The stream only answers "which files are new": it copies their documents to the
 staging table, in a partition of this run (exactly once, by checkpoint and file sink). The
-staged run is then loaded like any batch: rejects first, rows after the feed's
-watermark, first arrival per key, merge by key, watermark. A run that ended
-before its load is loaded by the next one, so overlapping or replayed files
+staged run is then loaded like any batch: rejects first, first arrival per key,
+merge of the keys that are not stored yet, watermark. A run that ended
+before its load is loaded by the next one, so overlapping, late or replayed files
 neither duplicate nor lose rows.
 """
 
@@ -75,6 +75,6 @@ def ingest(store: Store, name: str, source_path: str, work: str, start_date: str
             continue
         docs = spark.read.schema(schema).parquet(stage).filter(F.col("run") == staged).drop("run")
         jobs.fail_on_rejects(pl.payload_rejects(docs, feed.series, feed.key))
-        inc.load_feed(store, feed.parse(docs, start_date), feed.table, name, clean=feed.clean)
+        inc.load_feed(store, feed.parse(docs, start_date), feed.table, name, clean=feed.clean, late=True)
         write_text(spark, f"{work}/loaded/{staged}", "")
     return store.read(feed.table)

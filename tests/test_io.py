@@ -286,17 +286,28 @@ def test_rejected_payloads_lose_nothing(spark, tmp_path):
     assert store.read("equity_daily").count() == 0 and store.read("load_metadata").count() == 0
     txns = tmp_path / "t.csv"
     txns.write_text("transaction_id,portfolio_id,symbol,quantity_delta,transaction_date,transaction_type\n"
-                    "1,P1,A,2,2025-01-01,BUY\n2,P1,B,3,2025-01-03,BUY\n")
+                    "1,P1,A,2,2025-01-01,BUY\n2,P1,B,3,2025-01-01,BUY\n")
     jobs.daily_run(spark, root, _inputs(spark, day1, str(txns)), "2025-01-02", on_reject="log", run_id="r1")
     logged = store.read("pipeline_monitoring").filter("task_name like 'PAYLOAD%'").collect()
     assert [(r.task_name, r.error_message) for r in logged] == [("PAYLOAD_REJECT_EQUITIES", "B: rate_limited")]
     jobs.daily_run(spark, root, _inputs(spark, day2, str(txns)), "2025-01-03", snapshot_uri=f"{root}/snap", run_id="r2")
     assert store.read("equity_daily").count() == 4
     m = {(r.portfolio_id, r.date): r.total_value_gbp for r in store.read("fact_portfolio_metrics").collect()}
-    assert m == {("P1", D("2025-01-02")): 1.0, ("P1", D("2025-01-03")): 5.0}
+    assert m == {("P1", D("2025-01-02")): 2.5, ("P1", D("2025-01-03")): 5.0}      # B's first day, too
+    assert store.read("fact_prices").count() == 4
     assert spark.read.parquet(f"{root}/snap").count() == 2
 
 
+def test_ingest_keeps_a_symbol_that_comes_later(spark):
+    from riskframe.streaming import ingest
+    base = scratch_path(spark, "t-stream")
+    store = Store(spark, f"{base}/store")
+    for n, s in enumerate("AB"):
+        spark.createDataFrame([(s, eq_doc(d2025_01_02="1", d2025_01_03="2"))], "symbol string, payload string").write.parquet(f"{base}/in/b={n}")
+        out = ingest.ingest(store, "equities", f"{base}/in", f"{base}/work")
+    assert sorted((r.symbol, r.date.day, float(r.close)) for r in out.collect()) == [("A", 2, 1.0), ("A", 3, 2.0), ("B", 2, 1.0), ("B", 3, 2.0)]
+
+
 def test_raise_on_fail_fails_the_job_and_any_action(spark):
     from riskframe.plans import jobs
     root = scratch_path(spark, "t-fail")
