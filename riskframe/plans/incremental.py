@@ -17,7 +17,10 @@ from ..operators import advanced as adv
 from ..operators import metrics as met
 from ..operators import positions as pos
 from ..operators import prices as prc
+from ..functions.windows import ordered, running
 from ..schemas import as_double
+from ..sources.files import folder_names
+from . import changes
 from .store import Store
 
 EPOCH = "0001-01-01"
@@ -93,85 +96,164 @@ def load_feed(store: Store, feed: DataFrame, table: str, source: str, clean=None
     return out
 
 
+def _next_day(store: Store, source: str, default=EPOCH) -> Column:
+    """The day after a source's watermark, as a scalar."""
+    return F.date_add(watermark_value(store.read("load_metadata"), source, default), 1)
+
+
 def build_prices(store: Store, default_start: str = "2025-01-01", pair: str = "USDGBP",
-                 history: str = "window", lookback_days: int = 120, advance: bool = True) -> DataFrame:
-    """FACT_PRICES rows after the 'fact_prices' watermark, merged on
-    (symbol, date); the watermark becomes the max date written (not today), or
-    stays without ``advance``: the same dates are computed again next time.
+                 history: str = "window", lookback_days: int = 120) -> DataFrame:
+    """FACT_PRICES, merged on (symbol, date): the days after the
+    'fact_prices' watermark of every symbol, and those from the first changed
+    day on (equities, FX rate, names) of a symbol that changed earlier. The
+    watermark becomes the max date written (not today).
 
     The equity scan is bounded: month partitions of the last ``lookback_days``
-    before the watermark, plus the older rows of symbols with too little recent
-    history for their windows (one plan; with no such symbol the join keeps
-    nothing). The result is exactly the full-history recompute.
+    before the first day to compute, plus the older rows of symbols with too
+    little recent history for their windows (with no such symbol no older
+    month is read). The table equals the full-history recompute
+    whatever order the rows came in. ``history='increment'`` computes the
+    windows over the rows to compute alone.
     """
-    meta = store.read("load_metadata")
+    new = changes.pending(store, "fact_prices")
     fx = as_double(store.read("fx_daily"))
-    dim = store.read("dim_symbol")
-    after = watermark(meta, "fact_prices")
-    cut = after.select(F.coalesce(F.max("last_loaded_date"), date_lit(default_start))).scalar()
-    since = F.date_sub(cut, lookback_days)
-    if history == "increment":
-        base = as_double(store.read("equity_daily", where=(F.col("month") >= store.month_of(cut))
-                                    & (F.col("date") > cut)))
-    else:
-        base = as_double(store.read("equity_daily", where=(F.col("month") >= store.month_of(since))
-                                    & (F.col("date") > since)))
-        need = prc.short_history_symbols(prc.join_fx(base, fx, pair), cut, prc.LONGEST_FRAME)
-        older = as_double(store.read("equity_daily", where=F.col("date") <= since))
-        base = base.unionByName(older.join(need, "symbol", "left_semi"))
-    rows = prc.fact_prices(base, fx, dim, after=cut, pair=pair, history=history, default_start=default_start)
-    out = store.upsert("fact_prices", rows)
-    if advance:
-        advance_watermark(store, "fact_prices", "fact_prices")
+    first_ever = F.date_add(date_lit(default_start), 1)
+    rate_since = new.since("fx_daily").filter(F.col("pair") == pair).agg(F.min("since")).scalar()
+    start = F.greatest(first_ever, F.least(_next_day(store, "fact_prices", default_start), rate_since))
+    since = (new.since("equity_daily").unionByName(new.since("dim_symbol")).groupBy("symbol")
+             .agg(F.greatest(F.min("since"), first_ever).alias("since")))
+    late, first = changes.earlier(store, since, start)
+    back = 0 if history == "increment" else lookback_days
+    since_day = F.date_sub(first, back)
+    recent = changes.from_first(as_double(store.read("equity_daily", where=(F.col("month") >= store.month_of(since_day))
+                                                     & (F.col("date") >= since_day))), late, start)
+    base = recent.filter(F.col("date") >= F.date_sub("_from", back))
+    if history == "window":
+        # windows count rows that have a rate: symbols with too few of them before their first day
+        old, to_do = F.col("date") < F.col("_from"), F.col("date") >= F.col("_from")
+        short = (prc.join_fx(base, fx, pair).groupBy("symbol", "_from").agg(F.count_if(old).alias("n"), F.bool_or(to_do).alias("to_do"))
+                 .filter(F.col("to_do") & (F.col("n") < prc.LONGEST_FRAME)).select("symbol", "_from"))
+        need = changes.kept(store, short)
+        upto = F.date_sub(need.agg(F.max("_from")).scalar(), back)      # null without such symbols: no month is read
+        older = as_double(store.read("equity_daily", where=(F.col("month") <= store.month_of(upto)) & (F.col("date") < upto)))
+        base = base.unionByName(older.join(need, "symbol").filter(F.col("date") < F.date_sub("_from", back)))
+    elif history != "increment":
+        raise ValueError("history must be 'window' or 'increment'")
+    rows = prc.with_window_stats(prc.project(prc.join_dim(prc.join_fx(base, fx, pair), store.read("dim_symbol"))))
+    rows = changes.from_first(rows, late, start).filter(F.col("date") >= F.col("_from"))
+    out = store.upsert("fact_prices", rows.select(*prc.PRICE_COLUMNS))
+    advance_watermark(store, "fact_prices", "fact_prices")
+    new.done()
     return out
 
 
+def first_stored_day(store: Store, table: str, date_col: str = "date") -> Column:
+    """The earliest day of a month-partitioned table (its first month is read), as a scalar."""
+    months = [n.partition("=")[2] for n in folder_names(store.spark, store.path(table)) if n.startswith("month=")]
+    return store.read(table, where=F.col("month") == (min(months) if months else "")).agg(F.min(date_col)).scalar()
+
+
 def build_positions(store: Store, as_of) -> DataFrame:
-    """Positions after the 'positions_daily' watermark up to ``as_of``,
-    seeded by the stored quantities at the watermark; matched rows keep
-    _created_at. The watermark becomes ``as_of``."""
-    meta = store.read("load_metadata")
+    """Positions up to ``as_of``; matched rows keep _created_at and the
+    watermark becomes ``as_of``.
+
+    The first run computes all of them. Afterwards a pair without a changed
+    transaction carries its stored quantity on from the watermark, and a pair
+    with one (or one whose day has come) is computed again from its first changed day (a new pair: from
+    the first day of the table), so that late or corrected transactions give the
+    table of a single run. A pair whose transactions have all moved to other pairs
+    keeps rows with quantity 0.
+    """
+    new = changes.pending(store, "portfolio_positions_daily")
     txns = as_double(store.read("portfolio_transactions"))
-    last = pos.start_date(txns, meta)
-    ld = last.select(F.max("last_date")).scalar()
-    # the seed is one day of the positions table: prune to its month partition
-    prior = as_double(store.read("portfolio_positions_daily",
-                                 where=(F.col("month") == store.month_of(ld)) & (F.col("date") == ld)))
-    rows = pos.positions_daily(txns, prior=prior, last_date=last, as_of=as_of)
+    cut = watermark(store.read("load_metadata"), "positions_daily").first()[0]     # one row
+    if cut is None:
+        rows = pos.positions_daily(txns, last_date=pos.start_date(txns), as_of=as_of)
+    else:
+        rows = _position_suffixes(store, txns, new.since("portfolio_transactions"), cut, as_of)
     out = store.upsert("portfolio_positions_daily", rows, update_cols=["quantity"],
                        insert_defaults={"_created_at": F.current_timestamp()})
     set_watermark(store, "positions_daily", as_of if not isinstance(as_of, _dt.date) else as_of.isoformat())
+    new.done()
     return out
 
 
-def build_daily(store: Store, advance: bool = True) -> DataFrame:
-    """The holdings join aggregated to (portfolio, day), for the days after the
-    last stored one: prices and positions are read from that month on only."""
-    last = watermark_value(store.read("load_metadata"), "portfolio_daily")
-    later = (F.col("month") >= store.month_of(last)) & (F.col("date") > last)
-    rows = met.daily(met.holdings(as_double(store.read("fact_prices", where=later)),
-                                  as_double(store.read("portfolio_positions_daily", where=later))))
+def _position_suffixes(store: Store, txns: DataFrame, since: DataFrame, cut: _dt.date, as_of) -> DataFrame:
+    """The rows of ``build_positions`` after its first run, up to the later of ``as_of`` and ``cut``."""
+    next_day = F.date_add(date_lit(cut), 1)
+    until = F.greatest(date_lit(as_of), date_lit(cut))
+    # trades that lay ahead of the last run count as changed when their day comes
+    due = txns.filter((F.col("transaction_date") >= next_day) & (F.col("transaction_date") <= until))
+    since = changes.kept(store, since.unionByName(due.select(*pos.PAIR, F.col("transaction_date").alias("since")))
+                         .groupBy(*pos.PAIR).agg(F.min("since").alias("since")))
+    # one day of the positions table: prune to its month partition
+    held = as_double(store.read("portfolio_positions_daily", where=(F.col("month") == store.month_of(cut))
+                                & (F.col("date") == date_lit(cut)))).select(*pos.PAIR, "quantity")
+    first_stored = first_stored_day(store, "portfolio_positions_daily")
+    first = F.coalesce(F.least(first_stored, since.agg(F.min("since")).scalar()), next_day)
+    same = held.join(since, pos.PAIR, "left_anti")
+    carried = same.select(*pos.PAIR, F.explode(pos.days_between(next_day, until)).alias("date"), "quantity")
+    # the table now begins earlier: every pair does
+    before = same.select(*pos.PAIR, F.explode(pos.days_between(first, F.date_sub(first_stored, 1))).alias("date"),
+                         F.lit(0.0).alias("quantity"))
+    known = held.select(*pos.PAIR, F.lit(True).alias("known"))
+    pairs = since.join(known, pos.PAIR, "left").select(
+        *pos.PAIR, F.when(F.col("known").isNull() | (first < first_stored), first)
+        .otherwise(F.least("since", next_day)).alias("_from"))
+    moves = (txns.join(since, pos.PAIR, "left_semi").filter(F.col("transaction_date") <= until)
+             .select(*pos.PAIR, F.col("transaction_date").alias("date"), F.col("quantity_delta").alias("q")))
+    anchors = pairs.select(*pos.PAIR, first.alias("date"), F.lit(0.0).alias("q"))
+    points = moves.unionByName(anchors).groupBy(*pos.PAIR, "date").agg(F.sum("q").alias("q"))
+    spans = points.select(*pos.PAIR, "date", F.sum("q").over(running(pos.PAIR)).alias("quantity"),
+                          F.lead("date").over(ordered(pos.PAIR)).alias("next_date")).join(pairs, pos.PAIR)
+    last = F.coalesce(F.date_sub("next_date", 1), until)
+    changed = spans.select(*pos.PAIR, F.explode(pos.days_between(F.greatest("date", "_from"), last)).alias("date"), "quantity")
+    return carried.unionByName(before).unionByName(changed)
+
+
+def build_daily(store: Store) -> DataFrame:
+    """The holdings join aggregated to (portfolio, day): the days after the
+    last stored one, and those from the first changed position or price on
+    of the portfolios that have such a change. Prices and positions are read from
+    the first of these months on only."""
+    new = changes.pending(store, "portfolio_daily")
+    start = _next_day(store, "portfolio_daily")
+    symbols, first_price = changes.earlier(store, new.since("fact_prices"), start)
+    owners = store.read("portfolio_positions_daily", where=(F.col("month") >= store.month_of(first_price))
+                        & (F.col("date") >= first_price) & (F.col("date") < start))
+    by_price = owners.join(symbols, "symbol").filter(F.col("date") >= F.col("since"))
+    since = (new.since("portfolio_positions_daily").select("portfolio_id", "since")
+             .unionByName(by_price.select("portfolio_id", F.col("date").alias("since")))
+             .groupBy("portfolio_id").agg(F.min("since").alias("since")))
+    late, first = changes.earlier(store, since, start)
+    recent = (F.col("month") >= store.month_of(first)) & (F.col("date") >= first)
+    held = changes.from_first(as_double(store.read("portfolio_positions_daily", where=recent)), late, start)
+    rows = met.daily(met.holdings(as_double(store.read("fact_prices", where=recent)),
+                                  held.filter(F.col("date") >= F.col("_from"))))
     out = store.upsert("portfolio_daily", rows)
-    if advance:
-        advance_watermark(store, "portfolio_daily", "portfolio_daily")
+    advance_watermark(store, "portfolio_daily", "portfolio_daily")
+    new.done()
     return out
 
 
-def build_metrics(store: Store, advance: bool = True) -> DataFrame:
-    """M3 stored: new days are aggregated once, the windows run over the small
-    daily table, and the days after the last stored one are merged."""
-    daily = build_daily(store, advance)
-    last = watermark_value(store.read("load_metadata"), "portfolio_metrics")
-    out = store.upsert("fact_portfolio_metrics", met.over_days(daily).filter(F.col("date") > last))
-    if advance:
-        advance_watermark(store, "portfolio_metrics", "fact_portfolio_metrics")
+def build_metrics(store: Store) -> DataFrame:
+    """M3 stored: new and changed days are aggregated once, the windows run over the
+    small daily table, and the days from the first new or changed one of a portfolio on are merged."""
+    daily = build_daily(store)
+    new = changes.pending(store, "fact_portfolio_metrics")
+    start = _next_day(store, "portfolio_metrics")
+    late, _ = changes.earlier(store, new.since("portfolio_daily"), start)
+    rows = changes.from_first(met.over_days(daily), late, start).filter(F.col("date") >= F.col("_from"))
+    out = store.upsert("fact_portfolio_metrics", rows.select(*met.METRIC_COLUMNS))
+    advance_watermark(store, "portfolio_metrics", "fact_portfolio_metrics")
+    new.done()
     return out
 
 
-def build_advanced(store: Store, benchmark: str = "SPY", advance: bool = True) -> DataFrame:
+def build_advanced(store: Store, benchmark: str = "SPY") -> DataFrame:
     """I8: the advanced metrics of all stored metric days (small: one row per
     portfolio and day), merged on (date, portfolio_id). Builds the metrics first."""
-    rows = adv.advanced_metrics(build_metrics(store, advance), as_double(store.read("fact_benchmark")), benchmark)
+    rows = adv.advanced_metrics(build_metrics(store), as_double(store.read("fact_benchmark")), benchmark)
     return store.upsert("fact_portfolio_adv_metrics", rows)
 
 

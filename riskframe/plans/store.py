@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import schemas
 from ..sinks import tables as sink
 from ..sources.files import table_exists
+from . import changes
 
 
 @dataclass
@@ -48,11 +49,17 @@ class Store:
         return int(self.spark.conf.get(f"spark.riskframe.buckets.{name}", str(schemas.TABLES[name].buckets)))
 
     def upsert(self, name: str, updates: DataFrame, update_cols=None, insert_defaults=None) -> DataFrame:
+        """Merge by key; tables of ``changes.TRACKED`` hand on what changed."""
         t = schemas.TABLES[name]
         conformed = schemas.conform(updates, t.schema, insert_defaults)
         cols = [c for c in updates.columns if c in conformed.columns]
+
+        def hand_on(target: DataFrame, staged: DataFrame) -> None:
+            changes.record(self, name, target, staged, t.keys, update_cols)
+
         return sink.upsert_table(self.spark, self.path(name), conformed.select(*cols), t.keys, t.schema,
-                                 t.partition_by, update_cols, insert_defaults, buckets=self.buckets(name))
+                                 t.partition_by, update_cols, insert_defaults, buckets=self.buckets(name),
+                                 on_merge=hand_on if name in changes.TRACKED else None)
 
     def append(self, name: str, df: DataFrame) -> int:
         t = schemas.TABLES[name]

@@ -118,12 +118,13 @@ DERIVED = {
 
 def merge_plan(spark: SparkSession, path: str, updates: DataFrame, keys, schema: StructType, partition_by=(),
                update_cols=None, insert_defaults: dict | None = None,
-               buckets: int = DEFAULT_BUCKETS) -> tuple[DataFrame, list]:
+               buckets: int = DEFAULT_BUCKETS, on_merge=None) -> tuple[DataFrame, list]:
     """The merged rows of the touched partitions (and the partition columns) that
     ``upsert_table`` writes. The updates are written once to the shared folder,
     so their plan runs once; their distinct partition values (one row per
     partition touched) then filter the target as literals: only those
-    partitions are listed and read, whatever the updates' plan or size."""
+    partitions are listed and read, whatever the updates' plan or size.
+    ``on_merge(target, updates)`` sees both sides before anything is written."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     pcols = list(partition_by) or [BUCKET]
     buckets = settled_layout(spark, path, pcols, buckets)
@@ -139,6 +140,8 @@ def merge_plan(spark: SparkSession, path: str, updates: DataFrame, keys, schema:
     staged = spark.read.schema(updates.schema).parquet(stage)
     touched = [tuple(r) for r in staged.select(*pcols).distinct().collect()]
     target = spark.read.schema(stored_schema(schema, pcols)).parquet(path).filter(_in_partitions(pcols, touched))
+    if on_merge is not None:
+        on_merge(target, staged)
     return upsert(target, staged, keys, update_cols, insert_defaults), pcols
 
 
@@ -175,7 +178,7 @@ def settled_layout(spark: SparkSession, path: str, pcols: list, buckets: int) ->
 
 def upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys, schema: StructType,
                  partition_by=(), update_cols=None, insert_defaults: dict | None = None,
-                 buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                 buckets: int = DEFAULT_BUCKETS, on_merge=None) -> DataFrame:
     """K4 applied to a Parquet table at ``path`` (created on first use).
 
     ``partition_by``: key columns, names in ``DERIVED`` (e.g. ``month`` of the
@@ -189,7 +192,7 @@ def upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys, schem
     the job. Re-running the same batch is a no-op on content.
     """
     merged, pcols = merge_plan(spark, path, updates, keys, schema, partition_by, update_cols, insert_defaults,
-                               buckets)
+                               buckets, on_merge)
     (merged.hint("rebalance", *pcols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*pcols).parquet(path))
     return read_upserted(spark, path, schema, pcols)
