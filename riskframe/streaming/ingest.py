@@ -2,7 +2,7 @@
 
 The stream only answers "which files are new": it copies their documents to the
 staging table, in a partition of this run (exactly once, by checkpoint and file sink). The
-staged run is then loaded like any batch: rejects first, first arrival per key,
+staged run is then loaded like any batch: rejects first (an error or a log entry), first arrival per key,
 merge of the keys that are not stored yet, watermark. A run that ended
 before its load is loaded by the next one, so overlapping, late or replayed files
 neither duplicate nor lose rows.
@@ -59,12 +59,18 @@ def stage_new_files(spark: SparkSession, feed: Feed, source_path: str, stage: st
 
 
 def ingest(store: Store, name: str, source_path: str, work: str, start_date: str = "0001-01-01",
-           fmt: str = "parquet", max_files_per_trigger: int | None = None) -> DataFrame:
+           fmt: str = "parquet", max_files_per_trigger: int | None = None, on_reject: str = "fail") -> DataFrame:
     """Load the new payload files of a feed (``FEEDS``) into its RAW table; returns the table.
 
     ``work`` holds the checkpoint and the staged runs. A rejected document
-    fails the call before its run is loaded; the run stays staged.
+    fails the call before its run is loaded and the run stays staged
+    (``on_reject="fail"``), or is logged to ``pipeline_monitoring`` with its run
+    and reason while the run's other documents are loaded (``"log"``); a good
+    document of the same days that comes in a later file is merged like any other.
+    A call that ends between the log and the load logs the run's rejects once more.
     """
+    if on_reject not in ("fail", "log"):
+        raise ValueError("on_reject must be 'fail' or 'log'")
     spark, feed, stage = store.spark, FEEDS[name], f"{work}/staged"
     runs = lambda: [n.partition("=")[2] for n in folder_names(spark, stage) if n.startswith("run=")]
     stage_new_files(spark, feed, source_path, stage, f"{len(runs()):06d}", f"{work}/checkpoint", fmt, max_files_per_trigger)
@@ -74,7 +80,12 @@ def ingest(store: Store, name: str, source_path: str, work: str, start_date: str
         if staged in loaded:
             continue
         docs = spark.read.schema(schema).parquet(stage).filter(F.col("run") == staged).drop("run")
-        jobs.fail_on_rejects(pl.payload_rejects(docs, feed.series, feed.key))
+        rejects = pl.payload_rejects(docs, feed.series, feed.key)
+        if on_reject == "fail":
+            jobs.fail_on_rejects(rejects)
+        else:
+            jobs.log_rejects(store, {name: rejects}, f"{name}-{staged}", F.current_date())
+            docs = pl.payload_accepted(docs, feed.series, feed.key)
         inc.load_feed(store, feed.parse(docs, start_date), feed.table, name, clean=feed.clean, late=True)
         write_text(spark, f"{work}/loaded/{staged}", "")
     return store.read(feed.table)

@@ -198,6 +198,30 @@ def test_stream_ingest_fails_on_a_reject_and_loads_the_run_later(spark):
     assert inc.watermark(store.read("load_metadata"), "equities").collect()[0][0] is None
 
 
+def test_stream_ingest_goes_past_a_logged_reject(spark):
+    """B's first document is bad: logged once, A is loaded, later files too; B's good one gives prices for the same days."""
+    from riskframe.streaming import ingest
+    base = scratch_path(spark, "t-stream")
+    store = Store(spark, f"{base}/store")
+    fx = '{"Time Series FX (Daily)": {"2025-01-02": {"4. close": "0.5"}, "2025-01-03": {"4. close": "0.5"}}}'
+    spark.createDataFrame([("USDGBP", fx)], "pair string, payload string").write.parquet(f"{base}/fx/b=1")
+    ingest.ingest(store, "fx", f"{base}/fx", f"{base}/work-fx")
+    days = {"d2025_01_02": "1.5", "d2025_01_03": "2.5"}
+    files = [[("A", eq_doc(d2025_01_02="1.5")), ("B", '{"Note": "x"}')], [("A", eq_doc(**days))], [("B", eq_doc(**days))]]
+    for n, docs in enumerate(files):
+        spark.createDataFrame(docs, "symbol string, payload string").write.parquet(f"{base}/in/b={n}")
+        out = ingest.ingest(store, "equities", f"{base}/in", f"{base}/work", on_reject="log")
+        prices = inc.build_prices(store)
+    both = [(s, d) for s in "AB" for d in (2, 3)]
+    assert sorted((r.symbol, r.date.day) for r in out.collect()) == both
+    assert sorted((r.symbol, r.date.day) for r in prices.collect()) == both
+    logged = store.read("pipeline_monitoring").collect()
+    assert [(r.run_id, r.task_name, r.error_message) for r in logged] == [
+        ("equities-000000", "PAYLOAD_REJECT_EQUITIES", "B: rate_limited")]
+    with pytest.raises(ValueError):
+        ingest.ingest(store, "equities", f"{base}/in", f"{base}/work", on_reject="drop")
+
+
 TXN = ("transaction_id string, portfolio_id string, symbol string, quantity_delta double, "
        "transaction_date date, transaction_type string")
 
