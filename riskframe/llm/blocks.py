@@ -144,7 +144,7 @@ def tally(pdf: pd.DataFrame) -> pd.DataFrame:
     _, at = np.unique(np.concatenate(keys), return_inverse=True)
     count = np.concatenate([unpacked(c, np.uint32) for c in pdf["counts"]]).astype(float)
     part = np.repeat(pdf["part"].to_numpy(), size)
-    kept, extra = (np.bincount(at, count * (part == p)).astype(np.uint32) for p in (0, 1))
+    kept, extra = (np.bincount(at, count * (part == p)).astype(np.uint64) for p in (0, 1))
     ends = np.cumsum(size)
     out = []
     for k, (lo, hi) in enumerate(zip(ends - size, ends)):
@@ -186,7 +186,7 @@ def with_replies(blocks: DataFrame, replies: DataFrame, answer: Callable[[int, B
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         found = {}
         for kind, rows in right.sort_values(["kind", "shard"]).groupby("kind"):
-            found[int(kind)] = tuple(np.concatenate([unpacked(x, np.uint32) for x in rows[c]]).astype(np.int64) for c in ("kept", "extra"))
+            found[int(kind)] = tuple(np.concatenate([unpacked(x, np.uint64) for x in rows[c]]).view(np.int64) for c in ("kept", "extra"))
         parts = [answer(int(r.part), Block.of(list(r.ids), r.sizes, r.words, r.codes), found) for r in left.itertuples()]
         return pd.concat(parts) if parts else pd.DataFrame(columns=[c.split()[0] for c in schema.split(", ")])
 
