@@ -18,6 +18,7 @@ from ..functions.windows import ordered, running, trailing_rows
 
 ADV_COLUMNS = ["portfolio_id", "date", "sharpe_ratio", "sortino_ratio", "max_drawdown", "beta", "alpha"]
 PID = "portfolio_id"
+FRAME = 30   # rows of the windows of the stored table
 
 
 def base(metrics: DataFrame) -> DataFrame:
@@ -57,10 +58,11 @@ def sortino(df: DataFrame) -> DataFrame:
     return df.withColumn("sortino_ratio", F.when(v > 0, F.col("avg_return_30d") / v).otherwise(F.lit(0.0)))
 
 
-def drawdown(b: DataFrame) -> DataFrame:
-    """W9 + M6: running all-history peak and drawdown from it."""
+def drawdown(b: DataFrame, carried: str | None = None) -> DataFrame:
+    """W9 + M6: running all-history peak and drawdown from it. Rows that go on from
+    stored ones begin with some whose peak is known, in the column ``carried``."""
     v = F.col("total_value_gbp")
-    peak = F.max(v).over(running(PID))
+    peak = F.max(v if carried is None else F.coalesce(carried, v)).over(running(PID))
     out = b.select("*", peak.alias("running_peak"))
     pk = F.col("running_peak")
     return out.withColumn("drawdown", F.when(pk > 0, (v - pk) / pk).otherwise(F.lit(0.0)))
@@ -95,15 +97,43 @@ def pair_stats(joined: DataFrame, rows: int = 30, keys=(PID,)) -> DataFrame:
                       .alias("alpha"))
 
 
+def with_benchmark(metrics: DataFrame, bench: DataFrame, benchmark: str | None = "SPY") -> DataFrame:
+    """The base grid with the benchmark return of each date, and whether it has one."""
+    br = benchmark_returns(bench, benchmark).select("date", "benchmark_return", F.lit(True).alias("has_bench"))
+    return base(metrics).join(br, "date", "left").withColumn("has_bench", F.coalesce("has_bench", F.lit(False)))
+
+
+def risk_windows(b: DataFrame, rows: int = 30, carried: str | None = None) -> DataFrame:
+    """All risk columns over ``with_benchmark`` rows, beside the columns given."""
+    s = max_drawdown(drawdown(sortino(sharpe(return_stats(b, rows))), carried), rows)
+    s = pair_stats(s.withColumn("portfolio_return", F.col("daily_return")), rows, keys=(PID, "has_bench"))
+    hb = F.col("has_bench")
+    return s.withColumn("beta", F.when(hb, F.col("beta"))).withColumn("alpha", F.when(hb, F.col("alpha")))
+
+
 def advanced_metrics(metrics: DataFrame, bench: DataFrame, benchmark: str | None = "SPY",
                      rows: int = 30) -> DataFrame:
     """M9: FACT_PORTFOLIO_ADV_METRICS on the base grid; dates without a
     benchmark row keep null beta/alpha."""
-    br = benchmark_returns(bench, benchmark).select("date", "benchmark_return", F.lit(True).alias("has_bench"))
-    b = base(metrics).join(br, "date", "left").withColumn("has_bench", F.coalesce("has_bench", F.lit(False)))
-    s = max_drawdown(drawdown(sortino(sharpe(return_stats(b, rows)))), rows)
-    s = s.withColumnRenamed("daily_return", "portfolio_return")
-    s = pair_stats(s, rows, keys=(PID, "has_bench"))
-    hb = F.col("has_bench")
-    return s.select(PID, "date", "sharpe_ratio", "sortino_ratio", "max_drawdown",
-                    F.when(hb, F.col("beta")).alias("beta"), F.when(hb, F.col("alpha")).alias("alpha"))
+    return risk_windows(with_benchmark(metrics, bench, benchmark), rows).select(*ADV_COLUMNS)
+
+
+STATE_COLUMNS = [PID, "date", "daily_return", "total_value_gbp", "benchmark_return", "has_bench", "running_peak",
+                 "row_no", "bench_no"]
+
+
+def go_on(history: DataFrame, new: DataFrame, rows: int = FRAME) -> DataFrame:
+    """The risk columns and the state of the ``new`` rows (``with_benchmark``), their windows
+    going on from ``history``: stored state rows of the same portfolios, all before the new ones.
+
+    A portfolio's last ``rows - 1`` stored rows, and as many that have a benchmark, are enough:
+    the peak and the two row numbers are carried along in each.
+    """
+    known = history.select(*STATE_COLUMNS[:6], *[F.col(c).alias(f"_{c}") for c in STATE_COLUMNS[6:]])
+    w = running(PID)
+    is_new = F.col("_row_no").isNull()
+    b = (known.unionByName(new.select(*STATE_COLUMNS[:6]), allowMissingColumns=True)
+         .select("*", (F.coalesce(F.max("_row_no").over(w), F.lit(0)) + F.count_if(is_new).over(w)).alias("row_no"),
+                 (F.coalesce(F.max("_bench_no").over(w), F.lit(0)) + F.count_if(is_new & F.col("has_bench")).over(w)).alias("bench_no")))
+    out = risk_windows(b, rows, "_running_peak").filter(is_new)
+    return out.select(*STATE_COLUMNS, *ADV_COLUMNS[2:])

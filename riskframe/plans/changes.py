@@ -40,12 +40,15 @@ TRACKED = {
     "fact_prices": Tracked(("symbol",), "date", False),
     "portfolio_positions_daily": Tracked(("portfolio_id", "symbol"), "date", False),
     "portfolio_daily": Tracked(("portfolio_id",), "date", False),
+    "fact_portfolio_metrics": Tracked(("portfolio_id",), "date", False),
+    "fact_benchmark": Tracked(("symbol",), "date", True),
 }
 READS = {
     "fact_prices": ("equity_daily", "fx_daily", "dim_symbol"),
     "portfolio_positions_daily": ("portfolio_transactions",),
     "portfolio_daily": ("fact_prices", "portfolio_positions_daily"),
     "fact_portfolio_metrics": ("portfolio_daily",),
+    "fact_portfolio_adv_metrics": ("fact_portfolio_metrics", "fact_benchmark"),
 }
 
 

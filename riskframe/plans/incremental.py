@@ -24,6 +24,7 @@ from . import changes
 from .store import Store
 
 EPOCH = "0001-01-01"
+ADVANCED = "portfolio_advanced:"   # and the benchmark: source of the advanced metrics' watermark
 
 
 def _partitioning(table: str) -> tuple:
@@ -250,11 +251,69 @@ def build_metrics(store: Store) -> DataFrame:
     return out
 
 
-def build_advanced(store: Store, benchmark: str = "SPY") -> DataFrame:
-    """I8: the advanced metrics of all stored metric days (small: one row per
-    portfolio and day), merged on (date, portfolio_id). Builds the metrics first."""
-    rows = adv.advanced_metrics(build_metrics(store), as_double(store.read("fact_benchmark")), benchmark)
-    return store.upsert("fact_portfolio_adv_metrics", rows)
+def build_advanced(store: Store, benchmark: str = "SPY", lookback_days: int = 60) -> DataFrame:
+    """I8: the advanced metrics, merged on (date, portfolio_id). Builds the metrics first.
+
+    Computed are the days after the watermark and, of a portfolio whose metrics
+    changed earlier, those from the first changed day on (of every portfolio,
+    if the benchmark changed). Their windows go on from ``portfolio_adv_state``,
+    which carries the peak and row numbers of each stored day: read are the
+    months of the last ``lookback_days`` before the first day to compute, and
+    older ones only when some portfolio has rows there that its frames still
+    need. The table equals the full recompute whatever order the rows came in.
+    Another benchmark than last time computes all days.
+    """
+    build_metrics(store)
+    new = changes.pending(store, "fact_portfolio_adv_metrics")
+    source = f"{ADVANCED}{benchmark}"
+    bench_since = new.since("fact_benchmark").filter(F.col("symbol") == benchmark).agg(F.min("since")).scalar()
+    start = F.least(_next_day(store, source), bench_since)
+    late, first = changes.earlier(store, new.since("fact_portfolio_metrics"), start)
+    rows = store.read("fact_portfolio_metrics", where=(F.col("month") >= store.month_of(first)) & (F.col("date") >= first))
+    rows = changes.from_first(rows, late, start).filter(F.col("date") >= F.col("_from"))
+    history = _window_history(store, rows.select(adv.PID, "_from").distinct(), first, lookback_days)
+    todo = adv.with_benchmark(rows, _benchmark_rows(store, benchmark, first, lookback_days), benchmark)
+    found = changes.kept(store, adv.go_on(history, todo))
+    store.upsert("portfolio_adv_state", found.select(*adv.STATE_COLUMNS))
+    out = store.upsert("fact_portfolio_adv_metrics", found.select(*adv.ADV_COLUMNS))
+    others = store.read("load_metadata").filter(F.col("source").startswith(ADVANCED) & (F.col("source") != source)
+                                                & F.col("last_loaded_date").isNotNull())
+    if not others.isEmpty():     # the stored rows are no longer those of another benchmark
+        store.upsert("load_metadata", others.select("source", F.lit(None).cast("date").alias("last_loaded_date"),
+                                                    F.current_timestamp().alias("_updated_at")))
+    advance_watermark(store, source, "fact_portfolio_adv_metrics")
+    new.done()
+    return out
+
+
+def _window_history(store: Store, todo: DataFrame, first: Column, lookback_days: int) -> DataFrame:
+    """Stored state rows before the first day to compute (``_from``) of each portfolio in ``todo``: those of the
+    last ``lookback_days``, and all older ones of a portfolio whose frames reach further back."""
+    todo = changes.kept(store, todo)
+    since = F.date_sub(first, lookback_days)
+    recent = (store.read("portfolio_adv_state", where=(F.col("month") >= store.month_of(since)) & (F.col("date") >= since))
+              .join(todo, adv.PID).filter((F.col("date") < F.col("_from")) & (F.col("date") >= F.date_sub("_from", lookback_days))))
+    seen = recent.groupBy(adv.PID).agg(F.count(F.lit(1)).alias("n"), F.count_if("has_bench").alias("n_bench"),
+                                       F.max("row_no").alias("of"), F.max("bench_no").alias("of_bench"))
+    frame = F.lit(adv.FRAME - 1)
+    enough = (F.col("n") >= F.least("of", frame)) & (F.col("n_bench") >= F.least("of_bench", frame))
+    need = changes.kept(store, todo.join(seen, adv.PID, "left").filter(~F.coalesce(enough, F.lit(False))).select(adv.PID, "_from"))
+    upto = F.date_sub(need.agg(F.max("_from")).scalar(), lookback_days)     # null without such portfolios: no month is read
+    older = (store.read("portfolio_adv_state", where=(F.col("month") <= store.month_of(upto)) & (F.col("date") < upto))
+             .join(need, adv.PID).filter(F.col("date") < F.date_sub("_from", lookback_days)))
+    return recent.unionByName(older)
+
+
+def _benchmark_rows(store: Store, benchmark: str, first: Column, lookback_days: int) -> DataFrame:
+    """The benchmark from ``first`` on and the row before it (some older rows come along)."""
+    since = F.date_sub(first, lookback_days)
+    recent = store.read("fact_benchmark", where=(F.col("month") >= store.month_of(since)) & (F.col("date") >= since)
+                        & (F.col("symbol") == benchmark))
+    last = recent.filter(F.col("date") < first).agg(F.max("date")).scalar()
+    upto = F.when(last.isNull(), since)
+    older = store.read("fact_benchmark", where=(F.col("month") <= store.month_of(upto)) & (F.col("date") < upto)
+                       & (F.col("symbol") == benchmark))
+    return as_double(recent.unionByName(older))
 
 
 def load_transactions(store: Store, staged: DataFrame) -> DataFrame:

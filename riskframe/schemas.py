@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DateType, DecimalType, DoubleType, LongType, StringType,
+from pyspark.sql.types import (BooleanType, DateType, DecimalType, DoubleType, LongType, StringType,
                                StructField, StructType, TimestampNTZType)
 
 S, D, DBL, L, TS = StringType(), DateType(), DoubleType(), LongType(), TimestampNTZType()
@@ -54,6 +54,9 @@ VIEW_PORTFOLIO_METRICS = _st(("portfolio_id", S, True), ("date", D, True), ("tot
                              ("daily_var_95", DBL, True))
 PORTFOLIO_DAILY = _st(("portfolio_id", S, False), ("date", D, False), ("total_value_gbp", DBL, True),
                       ("weighted_daily_return", DBL, True))
+PORTFOLIO_ADV_STATE = _st(("portfolio_id", S, False), ("date", D, False), ("daily_return", DBL, True),
+                          ("total_value_gbp", DBL, True), ("benchmark_return", DBL, True), ("has_bench", BooleanType(), True),
+                          ("running_peak", DBL, True), ("row_no", L, True), ("bench_no", L, True))
 PIPELINE_ALERTS = _st(("run_id", S, True), ("run_date", D, True), ("message", S, True), ("_logged_at", TS, True))
 PIPELINE_PROFILE = _st(("run_id", S, True), ("run_date", D, True), ("report", S, True), ("line", S, True))
 QUERY_HISTORY = _st(("query_id", L, True), ("user_name", S, True), ("warehouse_name", S, True),
@@ -90,6 +93,8 @@ TABLES = {t.name: t for t in [
     # the holdings join aggregated to a day (the small table that all windows read), and the metrics view stored
     Table("portfolio_daily", PORTFOLIO_DAILY, ("portfolio_id", "date"), ("month",)),
     Table("fact_portfolio_metrics", VIEW_PORTFOLIO_METRICS, ("portfolio_id", "date"), ("month",)),
+    # what the windows of the advanced metrics go on from
+    Table("portfolio_adv_state", PORTFOLIO_ADV_STATE, ("portfolio_id", "date"), ("month",)),
     Table("pipeline_alerts", PIPELINE_ALERTS, ()),
     Table("pipeline_profile", PIPELINE_PROFILE, ()),
 ]}
