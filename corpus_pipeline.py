@@ -5,9 +5,10 @@ with the columns it was given (the last returns the mix); ``run`` writes each
 stage's result to the shared folder and hands the stored table to the next.
 
 Nulls: a null text is empty; a null doc_id is kept as it is (near-duplicates
-tell such rows apart by their text). Rows that repeat a doc_id count as one
-document in near-dedup (the first in text order stays) and as rows of their own
-elsewhere. Empty tables give empty results; further columns pass through.
+tell such rows apart by their text). Rows that repeat a doc_id are documents of
+their own; in near-dedup only those that repeat the text, too, are one (of a
+class, ids that hold one text come before ids that hold several).
+Empty tables give empty results; further columns pass through.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import fold, stored, table
+from riskframe.llm.common import fold, stored, table, whole_text
 from riskframe.llm.decontam import find_leaks
 from riskframe.llm.linededup import dedup_lines
 from riskframe.llm.mixing import mix_sources
@@ -44,11 +45,23 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return kept.select(*columns)
 
 
+def identified(docs: DataFrame) -> DataFrame:
+    """row (all columns of ``docs``), text, ident: the doc_id, or for an id that holds several texts a hash of both
+    above 2 ** 62. These ids are stored first: their size is known when the planner chooses the join."""
+    text = F.xxhash64(whole_text(F.col("text")))
+    several = stored(docs.groupBy("doc_id").agg(F.min(text).alias("low"), F.max(text).alias("high"))
+                     .filter("low <> high").select(F.col("doc_id").alias("several")), "pipeline-ids")
+    mix_of_both = F.shiftrightunsigned(F.xxhash64("doc_id", whole_text(F.col("text"))), 2).bitwiseOR(F.lit(1 << 62))
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", "text")
+    return rows.join(several, F.col("doc_id") == F.col("several"), "left").select(
+        "row", "text", F.when(F.col("several").isNotNull(), mix_of_both).otherwise(row_ident(F.col("doc_id"), F.col("text"))).alias("ident"))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class: the one with the smallest id."""
-    keep = near_duplicates(docs).filter("id = class_id").select(F.col("id").alias("ident")).distinct()
+    rows = identified(docs)
+    keep = near_duplicates(rows, id_col="ident").filter("id = class_id").select(F.col("id").alias("ident")).distinct()
     first = Window.partitionBy("ident").orderBy(F.col("row.text").asc_nulls_first(), F.xxhash64("row"))
-    rows = docs.select(F.struct("*").alias("row"), row_ident(F.col("doc_id"), F.col("text")).alias("ident"))
     return (rows.join(keep, "ident", "left_semi").withColumn("place", F.row_number().over(first))
             .filter("place = 1").select("row.*"))
 

@@ -38,3 +38,17 @@ def test_nasty_rows(spark, rows):
         docs = cp.stored(stage(spark, docs, SF_SMALL), "t-nasty")
     assert docs.count() == (5 if rows else 0)       # blank texts, equal texts and a repeated id are one each
     assert cp.STAGES[-1][1](spark, docs, SF_SMALL).count() == docs.count()
+
+
+def test_rows_that_share_an_id_are_documents_of_their_own(spark):
+    """Their texts and classes stay apart; the copies of each are one."""
+    words = [" ".join(f"{w}{i}" for i in range(60)) for w in "abcd"]
+    rows = [(7, words[0]), (7, words[1]), (7, words[1]), (7, None), (8, words[0]), (9, words[2]), (9, words[2] + " end"), (10, words[3])]
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, source string, several int")
+    left = cp.drop_near_duplicates(spark, docs, SF_SMALL)
+    assert left.columns == docs.columns
+    got = sorted((r["doc_id"], r["text"] or "") for r in left.collect())
+    assert got[:3] == [(7, ""), (7, words[1]), (8, words[0])] and got[4:] == [(10, words[3])] and got[3][0] == 9 and len(got) == 5
+    ident = cp.identified(docs).select("row.doc_id", "ident").distinct().collect()
+    assert {r["doc_id"] for r in ident if r["ident"] == r["doc_id"]} == {8, 10}
+    assert sorted(r["doc_id"] for r in ident if r["ident"] >= 1 << 62) == [7, 7, 7, 9, 9]
