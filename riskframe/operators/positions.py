@@ -81,24 +81,35 @@ def priors(base: DataFrame, prior_positions: DataFrame | None, last_date) -> Dat
             .select(*base.columns, F.coalesce("prior_qty", F.lit(0.0)).alias("prior_qty")))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt by pair over all shuffle partitions. A fixed number: the adaptive plan would pack
+    the few bytes of the pairs into one task, which then generates the days of all of them."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *PAIR)
+
+
 def cross_spine(base: DataFrame, last_date, as_of=None) -> DataFrame:
     """Pairs x days in (last_date, as_of], generated map-side (no cartesian product)."""
-    return base.select(*base.columns,
-                       F.explode(days_between(F.date_add(_scalar(last_date), 1), _as_of(as_of))).alias("date"))
+    return spread(base).select(*base.columns,
+                               F.explode(days_between(F.date_add(_scalar(last_date), 1), _as_of(as_of))).alias("date"))
 
 
 def matrix(spined: DataFrame, daily: DataFrame) -> DataFrame:
-    """Dense grid left-joined to daily deltas, missing -> 0."""
-    d = daily.select("symbol", "portfolio_id", "date", F.col("qty_delta").alias("_d"))
-    return (spined.join(d, ["symbol", "portfolio_id", "date"], "left")
-            .select(*spined.columns, F.coalesce("_d", F.lit(0.0)).alias("qty_delta")))
+    """Dense grid left-joined to daily deltas (one a pair and day), missing -> 0.
+
+    Both sides are dealt by pair, so the join is a union in which a day's delta meets the
+    day's row by sorting: the grid of ``cross_spine`` is not shuffled."""
+    keys = [*PAIR, "date"]
+    d = spread(daily.dropna(subset=keys).select(*keys, F.col("qty_delta").alias("_d")))
+    rows = spined.withColumn("_day", F.lit(True)).unionByName(d, allowMissingColumns=True)
+    found = rows.withColumn("_d", F.sum("_d").over(Window.partitionBy(*keys)))
+    return found.filter("_day").select(*spined.columns, F.coalesce("_d", F.lit(0.0)).alias("qty_delta"))
 
 
 def running_quantity(grid: DataFrame) -> DataFrame:
     """W5 (+J8 when ``grid`` carries prior_qty): prior + cumulative delta per pair."""
     prior = F.col("prior_qty") if "prior_qty" in grid.columns else F.lit(0.0)
-    return grid.select("portfolio_id", "symbol", "date",
-                       (prior + F.sum("qty_delta").over(running(PAIR))).alias("quantity"))
+    w = Window.partitionBy(*PAIR).orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)   # the order of ``matrix``
+    return grid.select("portfolio_id", "symbol", "date", (prior + F.sum("qty_delta").over(w)).alias("quantity"))
 
 
 def positions_daily(txns: DataFrame, prior: DataFrame | None = None, last_date=None,
@@ -130,8 +141,8 @@ def positions_daily(txns: DataFrame, prior: DataFrame | None = None, last_date=N
                                                         F.col("quantity").cast("double").alias("q"),
                                                         F.lit(0).alias("traded"))
         points = points.unionByName(seed)
-    points = (points.filter(first_day <= t).groupBy(*PAIR, "date")
-              .agg(F.sum("q").alias("q"), F.max("traded").alias("traded")))
+    points = spread(points.filter(first_day <= t).groupBy(*PAIR, "date")
+                    .agg(F.sum("q").alias("q"), F.max("traded").alias("traded")))
     held = points.select(*PAIR, "date",
                          F.sum("q").over(running(PAIR)).alias("quantity"),
                          F.lead("date").over(ordered(PAIR)).alias("next_date"),
