@@ -58,6 +58,11 @@ def stage_new_files(spark: SparkSession, feed: Feed, source_path: str, stage: st
      .outputMode("append").trigger(availableNow=True).start().awaitTermination())
 
 
+def load(store: Store, name: str, docs: DataFrame, start_date: str) -> None:
+    feed = FEEDS[name]
+    inc.load_feed(store, feed.parse(docs, start_date), feed.table, name, clean=feed.clean, late=True)
+
+
 def ingest(store: Store, name: str, source_path: str, work: str, start_date: str = "0001-01-01",
            fmt: str = "parquet", max_files_per_trigger: int | None = None, on_reject: str = "fail") -> DataFrame:
     """Load the new payload files of a feed (``FEEDS``) into its RAW table; returns the table.
@@ -82,10 +87,10 @@ def ingest(store: Store, name: str, source_path: str, work: str, start_date: str
         docs = spark.read.schema(schema).parquet(stage).filter(F.col("run") == staged).drop("run")
         rejects = pl.payload_rejects(docs, feed.series, feed.key)
         if on_reject == "fail":
-            jobs.fail_on_rejects(rejects)
+            with jobs.naming_rejects(rejects):     # judged as they are loaded
+                load(store, name, pl.payload_required(docs, feed.series, feed.key), start_date)
         else:
             jobs.log_rejects(store, {name: rejects}, f"{name}-{staged}", F.current_date())
-            docs = pl.payload_accepted(docs, feed.series, feed.key)
-        inc.load_feed(store, feed.parse(docs, start_date), feed.table, name, clean=feed.clean, late=True)
+            load(store, name, pl.payload_accepted(docs, feed.series, feed.key), start_date)
         write_text(spark, f"{work}/loaded/{staged}", "")
     return store.read(feed.table)
