@@ -88,3 +88,15 @@ def test_ingest_judges_documents_as_it_loads_them(spark, monkeypatch):
     spark.createDataFrame([("A", GOOD)], "symbol string, payload string").write.parquet(f"{base}/in/part=1")
     out = ingest.ingest(Store(spark, f"{base}/store"), "equities", f"{base}/in", f"{base}/work")
     assert out.count() == 1 and not judged
+
+
+def test_duplicate_keys_are_dealt_by_the_row_count(spark, monkeypatch):
+    from riskframe.operators import quality as dq
+    monkeypatch.setattr(dq, "KEYS_PER_TASK", 50)
+    df = spark.range(1000).selectExpr("case when id % 2 = 0 then 'HOT' when id % 5 = 0 then null else cast(id as string) end as k", "id % 3 as day", "id")
+    want = 1000 - 3 - 3 - 400      # three days of HOT, three of null keys, 400 others
+    dupes = dq.duplicate_rows(df, ["k", "day"])
+    assert "REPARTITION_BY_NUM" in formatted(dupes) and dupes.first().dupe_pk_rows == want
+    lines = dq.report(df, ["k", "day"]).collect()
+    assert {(r.column_name, r.null_count, r.row_count, r.dupe_pk_rows) for r in lines} == {("k", 100, 1000, want), ("day", 0, 1000, want), ("id", 0, 1000, want)}
+    assert dq.duplicate_rows(df.filter("id < 0"), "k").first().dupe_pk_rows == 0
