@@ -11,6 +11,7 @@ move between partitions and the touched set is exactly the updates'.
 from __future__ import annotations
 
 import json
+import uuid
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ..session import scratch_path
-from ..sources.files import folder_names, read_text, table_exists, write_text
+from ..sources.files import delete, folder_names, read_text, rename, table_exists, write_text
 
 LAYOUT = "_layout.json"   # file inside a table (hidden from scans) that records how its rows are dealt
 BUCKET = "_bucket"
@@ -36,14 +37,25 @@ def write_partitioned(df: DataFrame, root: str, name: str, partition_cols) -> st
     """K2: Hive-style ``col=val/`` tree; rows with a null partition key are
     dropped; only the partitions present in ``df`` are replaced (dynamic
     overwrite). A REBALANCE on the partition columns lets AQE split a hot
-    partition value into several evenly sized files instead of one huge task."""
+    partition value into several evenly sized files instead of one huge task.
+
+    A new table is written to a hidden folder and published by one rename when
+    the job has ended; into an existing one the driver moves partition by partition."""
     cols = list(partition_cols)
     keep = F.lit(True)
     for c in cols:
         keep = keep & F.col(c).isNotNull()
-    out = df.filter(keep).hint("rebalance", *cols)
+    out = df.filter(keep).hint("rebalance", *cols).write.mode("overwrite").partitionBy(*cols)
     path = f"{root}/{name}"
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*cols).parquet(path)
+    if table_exists(df.sparkSession, path):
+        out.option("partitionOverwriteMode", "dynamic").parquet(path)
+    else:
+        stage = f"{root}/_{name}-{uuid.uuid4().hex[:12]}"
+        try:
+            out.option("partitionOverwriteMode", "static").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(stage)
+            rename(df.sparkSession, stage, path)
+        finally:
+            delete(df.sparkSession, stage)
     return path
 
 

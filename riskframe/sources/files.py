@@ -54,6 +54,19 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    """Moves a folder to a place that does not exist yet."""
+    fs, p = _hadoop(spark, path)
+    if not fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"cannot rename {path} to {to}")
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Removes a folder, if it exists."""
+    fs, p = _hadoop(spark, path)
+    fs.delete(p, True)
+
+
 def folder_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the entries of a folder, sorted; none when it does not exist."""
     fs, p = _hadoop(spark, path)

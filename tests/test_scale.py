@@ -9,6 +9,7 @@ from riskframe.plans import jobs
 from riskframe.session import scratch_path
 from riskframe.sinks import tables as sink
 from riskframe.sources import payloads as pl
+from riskframe.sources.files import folder_names
 from riskframe.streaming import ingest
 from riskframe.plans.store import Store
 from test_plans import formatted
@@ -100,3 +101,21 @@ def test_duplicate_keys_are_dealt_by_the_row_count(spark, monkeypatch):
     lines = dq.report(df, ["k", "day"]).collect()
     assert {(r.column_name, r.null_count, r.row_count, r.dupe_pk_rows) for r in lines} == {("k", 100, 1000, want), ("day", 0, 1000, want), ("id", 0, 1000, want)}
     assert dq.duplicate_rows(df.filter("id < 0"), "k").first().dupe_pk_rows == 0
+
+
+def test_a_new_tree_is_published_by_one_rename(spark, monkeypatch):
+    moved = []
+    whole = sink.rename
+    monkeypatch.setattr(sink, "rename", lambda s, path, to: (moved.append(to), whole(s, path, to)))
+    root = scratch_path(spark, "t-tree")
+    rows = lambda *r: spark.createDataFrame(r, "k string, v int")
+    back = lambda: sorted(map(tuple, spark.read.schema("v int, k string").parquet(f"{root}/t").select("k", "v").collect()))
+    sink.write_partitioned(rows(("a", 1), ("a", 2), ("b", 3), (None, 4)), root, "t", ["k"])
+    assert moved == [f"{root}/t"] and back() == [("a", 1), ("a", 2), ("b", 3)]
+    sink.write_partitioned(rows(("b", 5), ("c", 6)), root, "t", ["k"])        # only the partitions present are replaced
+    assert moved == [f"{root}/t"] and back() == [("a", 1), ("a", 2), ("b", 5), ("c", 6)]
+    assert folder_names(spark, root) == ["t"] and folder_names(spark, f"{root}/t") == ["k=a", "k=b", "k=c"]
+    bad = rows(("d", 1)).selectExpr("k", "cast(raise_error('no') as int) as v")
+    with pytest.raises(Exception, match="no"):
+        sink.write_partitioned(bad, root, "u", ["k"])
+    assert folder_names(spark, root) == ["t"]
