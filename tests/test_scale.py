@@ -119,3 +119,53 @@ def test_a_new_tree_is_published_by_one_rename(spark, monkeypatch):
     with pytest.raises(Exception, match="no"):
         sink.write_partitioned(bad, root, "u", ["k"])
     assert folder_names(spark, root) == ["t"]
+
+
+def month_files(spark, store, table):
+    return {m: folder_names(spark, f"{store.path(table)}/{m}") for m in folder_names(spark, store.path(table)) if m.startswith("month=")}
+
+
+def test_a_merge_writes_only_what_differs(spark):
+    """Rows that are stored already write nothing; new rows come beside the old files; an altered row packs its month again."""
+    store = Store(spark, scratch_path(spark, "t-differs"))
+    put = lambda *r: store.upsert("equity_daily", spark.createDataFrame(r, EQ))
+    rows = lambda: sorted((r.symbol, r.date, float(r.close)) for r in store.read("equity_daily").collect())
+    a1, a2, b1 = ("A", D("2025-01-02"), 1.0), ("A", D("2025-02-03"), 2.0), ("B", D("2025-01-02"), 3.0)
+    put(a1, a2)
+    first = month_files(spark, store, "equity_daily")
+    put(a1, a2)
+    assert month_files(spark, store, "equity_daily") == first
+    put(a1, a2, b1)
+    second = month_files(spark, store, "equity_daily")
+    assert set(second["month=2025-01"]) > set(first["month=2025-01"]) and second["month=2025-02"] == first["month=2025-02"]
+    put(a1, a2, (*b1[:2], 4.0), ("B", D("2025-02-03"), 5.0), ("C", D("2025-03-03"), 6.0))
+    third = month_files(spark, store, "equity_daily")
+    assert not set(third["month=2025-01"]) & set(second["month=2025-01"]) and set(third["month=2025-02"]) > set(first["month=2025-02"])
+    assert rows() == [a1, a2, ("B", D("2025-01-02"), 4.0), ("B", D("2025-02-03"), 5.0), ("C", D("2025-03-03"), 6.0)]
+    with pytest.raises(Exception, match="null key symbol"):
+        put((None, D("2025-01-03"), 1.0), ("D", D("2025-03-04"), 1.0))
+    with pytest.raises(Exception, match="more than once"):
+        put(("D", D("2025-01-03"), 1.0), ("D", D("2025-01-03"), 1.0), ("D", D("2025-03-04"), 1.0))
+    assert len(rows()) == 5
+
+
+def test_small_files_of_a_month_are_packed_again(spark, monkeypatch):
+    monkeypatch.setattr(sink, "MOST_FILES", 3)
+    store = Store(spark, scratch_path(spark, "t-packed"))
+    n = []
+    for i in range(5):
+        store.upsert("equity_daily", spark.createDataFrame([("A", D(f"2025-01-0{i + 2}"), 1.0)], EQ))
+        n.append(len(month_files(spark, store, "equity_daily")["month=2025-01"]))
+    assert n == [1, 2, 3, 1, 2] and store.read("equity_daily").count() == 5
+
+
+def test_computed_rows_are_appended_unless_they_are_stored(spark):
+    store = Store(spark, scratch_path(spark, "t-computed"))
+    put = lambda *r: store.upsert("fact_prices", spark.createDataFrame(r, EQ), unique=True, mostly_new=True)
+    put(("A", D("2025-01-02"), 1.0), ("A", D("2025-02-03"), 2.0))
+    first = month_files(spark, store, "fact_prices")
+    put(("B", D("2025-01-02"), 3.0), ("A", D("2025-02-03"), 4.0), ("B", D("2025-02-03"), 5.0), ("B", D("2025-03-03"), 6.0))
+    now = month_files(spark, store, "fact_prices")
+    assert set(now["month=2025-01"]) > set(first["month=2025-01"]) and not set(now["month=2025-02"]) & set(first["month=2025-02"])
+    assert sorted((r.symbol, r.date.month, float(r.close)) for r in store.read("fact_prices").collect()) == [
+        ("A", 1, 1.0), ("A", 2, 4.0), ("B", 1, 3.0), ("B", 2, 5.0), ("B", 3, 6.0)]
