@@ -169,3 +169,23 @@ def test_computed_rows_are_appended_unless_they_are_stored(spark):
     assert set(now["month=2025-01"]) > set(first["month=2025-01"]) and not set(now["month=2025-02"]) & set(first["month=2025-02"])
     assert sorted((r.symbol, r.date.month, float(r.close)) for r in store.read("fact_prices").collect()) == [
         ("A", 1, 1.0), ("A", 2, 4.0), ("B", 1, 3.0), ("B", 2, 5.0), ("B", 3, 6.0)]
+
+
+def test_a_document_is_parsed_once(spark):
+    docs = spark.createDataFrame([("A", GOOD), ("B", '{"Note": "limit"}')], "symbol string, payload string")
+    path = scratch_path(spark, "t-docs")
+    docs.write.parquet(path)
+    docs = spark.read.schema(docs.schema).parquet(path)
+    for chosen in (pl.payload_accepted, pl.payload_required):
+        out = pl.parse_equity_payload(chosen(docs), "2025-01-01")
+        text = out._jdf.queryExecution().executedPlan().toString()
+        assert text.count("from_json(StructField(Time Series (Daily)") == 1, chosen
+    assert [(r.symbol, r.close) for r in pl.parse_equity_payload(pl.payload_accepted(docs), "2025-01-01").collect()] == [("A", 1.5)]
+    assert [tuple(r) for r in pl.payload_rejects(docs).collect()] == [("B", "rate_limited")]
+
+
+def test_first_rows_carry_each_column_once(spark):
+    from riskframe.operators import clean as cl
+    df = spark.createDataFrame([("A", 2, "x"), ("A", 1, "z"), ("A", 1, "y"), ("B", None, None)], "k string, v int, w string")
+    out = cl.dedupe_first(df, "k")
+    assert "_row" not in formatted(out) and sorted(map(tuple, out.collect())) == [("A", 1, "y"), ("B", None, None)]
