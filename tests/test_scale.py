@@ -189,3 +189,11 @@ def test_first_rows_carry_each_column_once(spark):
     df = spark.createDataFrame([("A", 2, "x"), ("A", 1, "z"), ("A", 1, "y"), ("B", None, None)], "k string, v int, w string")
     out = cl.dedupe_first(df, "k")
     assert "_row" not in formatted(out) and sorted(map(tuple, out.collect())) == [("A", 1, "y"), ("B", None, None)]
+
+
+def test_documents_of_the_daily_inputs_are_built_once(spark):
+    from conftest import SF_SMALL
+    from riskframe.plans import catalog_io
+    inputs = catalog_io._daily_inputs(spark, SF_SMALL, None)
+    for docs in (inputs.equity_payloads, inputs.fx_payloads, inputs.benchmark_payloads):
+        assert "Aggregate" not in tree(docs) and docs.count() > 0
