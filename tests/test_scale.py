@@ -133,8 +133,11 @@ def test_a_merge_writes_only_what_differs(spark):
     a1, a2, b1 = ("A", D("2025-01-02"), 1.0), ("A", D("2025-02-03"), 2.0), ("B", D("2025-01-02"), 3.0)
     put(a1, a2)
     first = month_files(spark, store, "equity_daily")
+    logged = folder_names(spark, f"{store.root}/changes/log/equity_daily")
     put(a1, a2)
+    store.upsert("equity_daily", spark.createDataFrame([], EQ))
     assert month_files(spark, store, "equity_daily") == first
+    assert len(folder_names(spark, f"{store.root}/changes/log/equity_daily")) == len(logged) + 1     # none for no rows
     put(a1, a2, b1)
     second = month_files(spark, store, "equity_daily")
     assert set(second["month=2025-01"]) > set(first["month=2025-01"]) and second["month=2025-02"] == first["month=2025-02"]
